@@ -39,12 +39,33 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltmesh.llm.chat import chat_report, conversation_events, format_chats
+
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat_report(format_chats(conversation_events(rows.unionByName(planted)), placed=True))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltmesh.llm.ann import nearest_neighbours
+
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltmesh.llm.shards import assign_shards
 
     return assign_shards(_table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltmesh.llm.licenses import find_licenses, license_report
+
+    return license_report(find_licenses(_table(spark, sf_dir, "documents")))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltmesh.llm.langid import fit_profiles, predict_language
 
@@ -52,6 +73,22 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, fit_profiles(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality, op2_decontamination, op3_bpe, op6_shards, op8_language)}
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltmesh.llm.neardup import NearDupParams, near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), NearDupParams(k=2))
+
+
+def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltmesh.llm.lmscore import fit_network, score_documents
+
+    docs = _table(spark, sf_dir, "documents")
+    return score_documents(docs, fit_network(docs))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_quality, op2_decontamination, op3_bpe, op4_chat, op5_neighbours, op6_shards, op7_licenses, op8_language, op9_neardup, op10_lmscore)
+}
 
 SQL: dict[str, str] = {}
