@@ -1,0 +1 @@
+"""Voltmesh: raw power-infrastructure features to a connected high-voltage network, on Spark DataFrames."""
