@@ -273,3 +273,39 @@ def disc(centre: np.ndarray, radius: float, corners: int = 64) -> np.ndarray:
 def dilated_hull(points: np.ndarray, radius: float, corners: int = 64) -> np.ndarray:
     """The outline of the convex hull of some points, moved out by a distance."""
     return convex_hull(np.concatenate([disc(p, radius, corners)[:-1] for p in points]))
+
+
+def to_metric(line: Line) -> Line:
+    """Degrees to metres, as geometry.metric() does for columns."""
+    from voltmesh.functions import geometry as G
+
+    lon, lat = np.radians(line[:, 0] - G.LON0), np.radians(line[:, 1])
+    sin = np.sin(lat)
+    q = (1 - G.E2) * (sin / (1 - G.E2 * sin * sin) - np.log((1 - G._E * sin) / (1 + G._E * sin)) / (2 * G._E))
+    beta = np.arcsin(np.clip(q / G._QP, -1, 1))
+    b = G._RQ * np.sqrt(2 / (1 + math.sin(G._B0) * np.sin(beta) + math.cos(G._B0) * np.cos(beta) * np.cos(lon)))
+    north = b / G._D * (math.cos(G._B0) * np.sin(beta) - math.sin(G._B0) * np.cos(beta) * np.cos(lon))
+    return np.stack([G.EAST0 + b * G._D * np.cos(beta) * np.sin(lon), G.NORTH0 + north], 1)
+
+
+def to_degrees(line: Line) -> Line:
+    """Metres to degrees, as geometry.geographic() does for columns."""
+    from voltmesh.functions import geometry as G
+
+    x, y = (line[:, 0] - G.EAST0) / G._D, (line[:, 1] - G.NORTH0) * G._D
+    rho = np.maximum(np.hypot(x, y), 1e-12)
+    c = 2 * np.arcsin(rho / (2 * G._RQ))
+    beta = np.arcsin(np.cos(c) * math.sin(G._B0) + y * np.sin(c) * math.cos(G._B0) / rho)
+    lon = G.LON0 + np.degrees(np.arctan2(x * np.sin(c), rho * math.cos(G._B0) * np.cos(c) - y * math.sin(G._B0) * np.sin(c)))
+    e4, e6 = G.E2**2, G.E2**3
+    lat = beta + (G.E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * np.sin(2 * beta) + (23 * e4 / 360 + 251 * e6 / 3780) * np.sin(4 * beta) + 761 * e6 / 45360 * np.sin(6 * beta)
+    return np.stack([lon, np.degrees(lat)], 1)
+
+
+def gap(a: Line, b: Line) -> float:
+    """Least distance between two shapes, each a point or a closed ring with its inside; 0 where they meet."""
+    if (len(a) > 3 and in_ring(b[0], a)) or (len(b) > 3 and in_ring(a[0], b)):
+        return 0.0
+    if len(a) > 1 and len(b) > 1 and any(_inside(p, q, ([b], 0.0)) for p, q in zip(a[:-1], a[1:], strict=True)):
+        return 0.0
+    return min(min(distance_to_path(p, b) for p in a), min(distance_to_path(p, a) for p in b))

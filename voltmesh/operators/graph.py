@@ -25,6 +25,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     now = settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     nodes = now.select(F.col("u").alias("id")).union(now.select("v")).distinct()
+    digest = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    before = digest(now)
     while True:
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -33,10 +35,10 @@ def connected(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
         small = settled(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        changed = small.exceptAll(now).limit(1).count() + now.exceptAll(small).limit(1).count()
-        now = small
-        if not changed:
+        after, now = digest(small), small
+        if after == before:
             break
+        before = after
     return nodes.join(now.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 

@@ -1,6 +1,535 @@
-"""The registered queries of the grid operators and their SQL."""
+"""The registered queries of the grid operators, each over a whole table, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voltmesh import config as C
+from voltmesh import rules
+from voltmesh.functions import geometry as G
+from voltmesh.functions import ids, tags
+from voltmesh.operators import graph, lines, shapes, spatial
+from voltmesh.plans import build, lens, mapview, search
+from voltmesh.sources import sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+MIN_VOLTS = 220_000
+RADIUS_M = 500.0
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _corrected(column: str, steps: list[tuple], kept: str | None = None) -> str:
+    """The SQL of a rule list."""
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    out = f"coalesce(CAST({column} AS VARCHAR), '')"
+    for step in steps:
+        if step[0] == "lower":
+            out = f"lower({out})"
+        elif step[0] == "exact":
+            out = f"(SELECT CASE WHEN v = {text(step[1])} THEN {text(step[2])} ELSE v END FROM (SELECT {out} AS v))"
+        else:
+            out = f"replace({out}, {text(step[1])}, {text(step[2])})"
+    return out if kept is None else f"regexp_replace({out}, '[^{kept}]', '', 'g')"
+
+
+VOLTAGE_SQL, FREQUENCY_SQL = _corrected("voltage", rules.VOLTAGE, "0-9;"), _corrected("frequency", rules.FREQUENCY, "0-9;.")
+CIRCUITS_SQL, CABLES_SQL = _corrected("circuits", rules.CIRCUITS, "0-9;"), _corrected("cables", rules.CABLES, "0-9;")
+SUB, LIN, DAT, KV, SIT, SPU, CHA, ELE = lens.SUBSTATIONS, lens.LINES, lens.DATES, lens.KV, lens.SITES, lens.SPURS, lens.CHAIN, lens.ELEMENTS
+
+
+def _sub(spark, d):
+    return lens.rows(spark, d, SUB).withColumn("voltage", tags.clean_voltage(F.col("voltage")))
+
+
+def _lin(spark, d):
+    clean = {"voltage": tags.clean_voltage(F.col("voltage")), "circuits": tags.clean_circuits(F.col("circuits")), "cables": tags.clean_cables(F.col("cables")), "frequency": tags.clean_frequency(F.col("frequency"))}
+    return lens.rows(spark, d, LIN).withColumns(clean)
+
+
+LIN_SQL = f"SELECT * REPLACE ({VOLTAGE_SQL} AS voltage, {CIRCUITS_SQL} AS circuits, {CABLES_SQL} AS cables, {FREQUENCY_SQL} AS frequency) FROM ({LIN})"
+SUB_SQL = f"SELECT * REPLACE ({VOLTAGE_SQL} AS voltage, {FREQUENCY_SQL} AS frequency) FROM ({SUB})"
+ANY_HIGH = f"len(list_filter(string_split(voltage, ';'), lambda x: regexp_matches(x, '^(0|[1-9][0-9]{{0,8}})$') AND TRY_CAST(x AS INT) >= {MIN_VOLTS})) > 0"
+
+
+# -- tags
+
+
+@query(f"SELECT id, {VOLTAGE_SQL} AS clean FROM ({SUB})")
+def clean_voltage(spark, d):
+    return lens.rows(spark, d, SUB).select("id", tags.clean_voltage(F.col("voltage")).alias("clean"))
+
+
+@query(f"SELECT id, {CIRCUITS_SQL} AS circuits_clean, {CABLES_SQL} AS cables_clean, {_corrected('cables', rules.WIRES, '0-9;')} AS wires_clean FROM ({LIN})")
+def clean_circuits(spark, d):
+    return lens.rows(spark, d, LIN).select("id", tags.clean_circuits(F.col("circuits")).alias("circuits_clean"), tags.clean_cables(F.col("cables")).alias("cables_clean"), tags.clean_wires(F.col("cables")).alias("wires_clean"))
+
+
+@query(f"SELECT id, {FREQUENCY_SQL} AS clean FROM ({SUB})")
+def clean_frequency(spark, d):
+    return lens.rows(spark, d, SUB).select("id", tags.clean_frequency(F.col("frequency")).alias("clean"))
+
+
+@query(f"""WITH t AS (SELECT id, regexp_replace(trim({_corrected('start_date', rules.DATE)}), '[^0-9-]', '', 'g') AS s FROM ({DAT}))
+SELECT id, CAST(CASE WHEN regexp_matches(s, '^[0-9]{{4}}-?$') THEN TRY_CAST(substr(s, 1, 4) || '-01-01' AS DATE)
+ WHEN regexp_matches(s, '^[0-9]{{4}}-[0-9]{{2}}$') THEN TRY_CAST(s || '-01' AS DATE)
+ WHEN regexp_matches(s, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST(s AS DATE) END AS VARCHAR) AS start_date FROM t""")
+def clean_date(spark, d):
+    return lens.rows(spark, d, DAT).select("id", tags.clean_date(F.col("start_date")).cast("string").alias("start_date"))
+
+
+@query(f"""WITH t AS (SELECT unnest(string_split(voltage, ';')) AS v FROM ({SUB_SQL}) WHERE {ANY_HIGH})
+SELECT CAST(v AS INT) AS voltage, count(*) AS n FROM t WHERE TRY_CAST(v AS INT) >= {MIN_VOLTS} GROUP BY 1""")
+def voltage_levels(spark, d):
+    """The number of parts of substations at each voltage from the minimum on."""
+    df = _sub(spark, d).where(tags.voltage_at_least(F.col("voltage"), MIN_VOLTS))
+    parts = lines.unique_voltages(df).where(lines.is_volts(MIN_VOLTS))
+    return parts.groupBy(F.col("voltage").cast("int").alias("voltage")).agg(F.count("*").alias("n"))
+
+
+# -- circuits
+
+_PARTS = f"""SELECT id, unnest(string_split(voltage, ';')) AS voltage, generate_subscripts(string_split(voltage, ';'), 1) AS nth, len(string_split(voltage, ';')) AS n,
+ circuits, cables, frequency, string_split(circuits, ';') AS cs, string_split(cables, ';') AS ks FROM ({LIN_SQL}) WHERE {ANY_HIGH}"""
+CASCADE_SQL = f"""WITH p AS ({_PARTS}), q AS (SELECT *, CASE
+  WHEN cables = '' AND circuits = '' THEN 1
+  WHEN cables NOT IN ('', '0') AND len(ks) = 1 AND n = 1 AND circuits = '' AND frequency <> '0' THEN 2
+  WHEN cables NOT IN ('', '0') AND len(ks) = 1 AND n = 1 AND circuits = '' THEN 3
+  WHEN circuits NOT IN ('', '0') AND len(cs) = 1 AND n = 1 THEN 4
+  WHEN n > 1 AND len(cs) = 1 AND len(ks) = 1 THEN 5
+  WHEN len(cs) > 1 AND len(cs) = n THEN 6
+  WHEN len(ks) > 1 AND len(ks) = n THEN 7 ELSE 8 END AS rule FROM p WHERE TRY_CAST(voltage AS INT) >= {MIN_VOLTS})
+SELECT CASE WHEN n > 1 THEN CAST(id AS VARCHAR) || '-' || CAST(nth AS VARCHAR) ELSE CAST(id AS VARCHAR) END AS id, CAST(voltage AS INT) AS voltage,
+ CAST(CASE rule WHEN 1 THEN 1 WHEN 2 THEN greatest(1, CAST(cables AS INT) // 3) WHEN 3 THEN greatest(1, CAST(cables AS INT) // 2) WHEN 4 THEN CAST(circuits AS INT)
+  WHEN 5 THEN greatest(1, CAST(floor((CASE WHEN circuits <> '' THEN CAST(circuits AS DOUBLE) ELSE CAST(cables AS DOUBLE) / 3 END) / n) AS INT))
+  WHEN 6 THEN CAST(cs[nth] AS INT) WHEN 7 THEN greatest(1, CAST(ks[nth] AS INT) // 3) ELSE 1 END AS INT) AS circuits,
+ CASE WHEN rule = 1 THEN CASE WHEN frequency IN ('50', '0') THEN frequency ELSE '50' END WHEN frequency <> '0' THEN '50' ELSE '0' END AS frequency FROM q"""
+
+
+@query(CASCADE_SQL)
+def line_cascade(spark, d):
+    """Circuits and frequency of each part of a line by the first rule that fits."""
+    df = _lin(spark, d).where(tags.voltage_at_least(F.col("voltage"), MIN_VOLTS))
+    out = lines.inferred_circuits(lines.unique_voltages(df).where(lines.is_volts(MIN_VOLTS)), "0", F.lit("50"))
+    return out.select("id", F.col("voltage").cast("int").alias("voltage"), F.coalesce(F.col("circuits").try_cast("int"), F.lit(1)).alias("circuits"), "frequency")
+
+
+@query(f"""WITH p AS (SELECT CAST(id AS VARCHAR) AS id, unnest(string_split(voltage, ';')) AS voltage, generate_subscripts(string_split(voltage, ';'), 1) AS nth, len(string_split(voltage, ';')) AS n, string_split(frequency, ';') AS fs FROM ({SUB_SQL}) WHERE {ANY_HIGH}),
+q AS (SELECT CASE WHEN n > 1 THEN id || '-' || CAST(nth AS VARCHAR) ELSE id END AS id, voltage, CASE WHEN len(fs) = n THEN [fs[nth]] ELSE fs END AS fs FROM p WHERE TRY_CAST(voltage AS INT) >= {MIN_VOLTS}),
+r AS (SELECT id, voltage, unnest(fs) AS f, generate_subscripts(fs, 1) AS k, len(fs) AS m FROM q)
+SELECT CASE WHEN m > 1 THEN id || '-' || CAST(k AS VARCHAR) ELSE id END AS id, CAST(voltage AS INT) AS voltage, CASE WHEN f IN ('0', '50') THEN f ELSE '50' END AS frequency FROM r""")
+def substation_frequency(spark, d):
+    df = _sub(spark, d).withColumn("frequency", tags.clean_frequency(F.col("frequency"))).where(tags.voltage_at_least(F.col("voltage"), MIN_VOLTS))
+    out = lines.substation_frequencies(lines.unique_voltages(df).where(lines.is_volts(MIN_VOLTS)), "0", F.lit("50"))
+    return out.select("id", F.col("voltage").cast("int").alias("voltage"), "frequency")
+
+
+# -- regions and dates
+
+
+def _regions() -> C.Config:
+    return C.Config(network=C.Network(minimum_voltage_kv=110.0), regions=C.shipped_regions())
+
+
+@query(f"""SELECT id, country, CAST(v AS INT) AS voltage FROM (SELECT id, country, unnest(string_split(voltage, ';')) AS v FROM ({SUB_SQL}))
+WHERE TRY_CAST(v AS INT) >= greatest(110000, CASE country WHEN 'BR' THEN 60000 WHEN 'US' THEN 100000 ELSE 110000 END)""")
+def region_min_voltage(spark, d):
+    """Parts of at least both the general and the region's own minimum."""
+    general, own = C.minimum_volts(_regions())
+    df = lines.unique_voltages(_sub(spark, d)).where(lines.is_volts(general)).withColumn("voltage", F.col("voltage").try_cast("int"))
+    return df.where(F.col("voltage") >= tags.by_region(F.col("country"), own, float(general))).select(_sub_id().alias("id"), "country", "voltage")
+
+
+def _sub_id():
+    return F.substring_index("id", "-", 1).cast("bigint")
+
+
+@query(f"SELECT id, country, CASE WHEN country IN ('US', 'BR') THEN '60' ELSE '50' END AS hz FROM ({SUB})")
+def region_ac_hz(spark, d):
+    general, own = C.ac_hz(_regions())
+    return lens.rows(spark, d, SUB).select("id", "country", tags.by_region(F.col("country"), {k: tags.hz(v) for k, v in own.items()}, tags.hz(general)).alias("hz"))
+
+
+@query(f"SELECT id, power = 'construction' OR construction = 'substation' AS being_built FROM ({SUB})")
+def under_construction(spark, d):
+    return lens.rows(spark, d, SUB).select("id", tags.under_construction(F.col("power"), F.col("construction"), F.lit(None), ("substation",)).alias("being_built"))
+
+
+@query(f"""SELECT id, start_date FROM ({SQL['clean_date']}) WHERE id % 10 <> 3 AND (start_date IS NULL OR CAST(start_date AS DATE) <= DATE '1995-06-30')""")
+def treat_under_construction(spark, d):
+    """Features neither being built nor starting after a date."""
+    df = clean_date(spark, d).withColumn("under_construction", F.col("id") % 10 == 3)
+    return lines.in_service(df, True, "1995-06-30").drop("under_construction")
+
+
+@query(f"""SELECT id, CASE {' '.join(f"WHEN coalesce(power = '{f}', false) OR coalesce(construction_power = '{f}', false) OR coalesce(power = 'construction' AND construction = '{f}', false) THEN '{f}'" for f in rules.FEATURES)} END AS feature FROM ({ELE})""")
+def classify_feature(spark, d):
+    return lens.rows(spark, d, ELE).select("id", tags.feature_of(F.col("power"), F.col("construction"), F.col("construction_power")).alias("feature"))
+
+
+@query(f"""SELECT id, coalesce(route = 'power', false) OR coalesce(power IN ('circuit', 'construction'), false) OR coalesce(construction_power IN ('line', 'cable'), false) AS is_route,
+ coalesce(power = 'substation', false) OR coalesce(construction_power = 'substation', false) OR coalesce(power = 'construction' AND construction = 'substation', false) AS is_substation FROM ({ELE})""")
+def route_relation(spark, d):
+    df = lens.rows(spark, d, ELE)
+    p, c, cp = F.col("power"), F.col("construction"), F.col("construction_power")
+    station = (F.coalesce(p == "substation", F.lit(False))) | F.coalesce(cp == "substation", F.lit(False)) | F.coalesce((p == "construction") & (c == "substation"), F.lit(False))
+    return df.select("id", tags.is_route(p, F.col("route"), cp).alias("is_route"), station.alias("is_substation"))
+
+
+# -- rows of one feature
+
+_COUNTRY = "CASE id % 3 WHEN 0 THEN 'BE' WHEN 1 THEN 'NL' ELSE 'DE' END"
+
+
+@query(f"SELECT dup_id AS id, arg_min(voltage, id) AS voltage, string_agg({_COUNTRY}, ';' ORDER BY id) AS country FROM ({LIN}) GROUP BY dup_id")
+def dedup_cross_border(spark, d):
+    """One row for each id with the countries of all its rows in order."""
+    df = lens.rows(spark, d, LIN).select(F.col("dup_id"), "voltage", F.expr(_COUNTRY).alias("country"), F.col("id").alias("_row"))
+    return lines.without_duplicates(df.withColumnRenamed("dup_id", "id")).select("id", "voltage", "country")
+
+
+@query(f"""WITH c AS ({CASCADE_SQL}), t AS (SELECT CAST(string_split(id, '-')[1] AS BIGINT) AS n, * FROM c)
+SELECT CAST(n // 20000000 AS VARCHAR) AS base_id, voltage, CAST(sum(circuits) AS INT) AS circuits, arg_min(frequency, id) AS frequency FROM t GROUP BY n // 20000000, voltage""")
+def aggregate_lines(spark, d):
+    """Parts of one way at one voltage together: circuits add up, the rest is the first known."""
+    df = line_cascade(spark, d)
+    way = F.floor(ids.base(F.col("id")).cast("bigint") / 20_000_000).cast("string")
+    df = df.select(F.concat(way, F.lit("-"), "id").alias("line_id"), way.alias("_way"), "voltage", "circuits", "frequency", F.col("id").alias("_row"))
+    return lines.aggregated_lines(df).select(F.col("_way").alias("base_id"), "voltage", "circuits", "frequency")
+
+
+@query(f"""WITH f AS ({SQL['substation_frequency']}), t AS (SELECT f.*, string_split(f.id, '-')[1] AS base_id, s.country FROM f JOIN ({SUB}) s ON CAST(string_split(f.id, '-')[1] AS BIGINT) = s.id)
+SELECT base_id, voltage, country, min(id) AS id, arg_min(CASE WHEN frequency <> '0' THEN frequency END, id) AS frequency FROM t GROUP BY base_id, voltage, country""")
+def aggregate_substations(spark, d):
+    df = substation_frequency(spark, d).withColumn("frequency", F.when(F.col("frequency") != "0", F.col("frequency")))
+    country = lens.rows(spark, d, SUB).select(F.col("id").cast("string").alias("_id"), "country")
+    df = df.join(country, ids.base(F.col("id")) == F.col("_id")).select("id", "voltage", "frequency", "country", F.col("id").alias("_row"))
+    return lines.aggregated_substations(df).select("base_id", "voltage", "country", "id", "frequency")
+
+
+@query(f"""SELECT CAST(min(id) AS VARCHAR) || '-' || CAST(voltage // 1000 AS VARCHAR) AS line_id, voltage, CAST(sum(circuits) AS INT) AS circuits
+FROM (SELECT id, CASE WHEN id % 2 = 0 THEN 220000 ELSE 380000 END AS voltage, CAST(1 + id % 3 AS INT) AS circuits, x0_u, y0_u, x1_u, y1_u FROM ({LIN})) GROUP BY voltage, x0_u, y0_u, x1_u, y1_u""")
+def merge_identical_lines(spark, d):
+    df = lens.rows(spark, d, LIN).select(
+        F.col("id").cast("string").alias("line_id"), F.when(F.col("id") % 2 == 0, 220000).otherwise(380000).alias("voltage"),
+        (1 + F.col("id") % 3).cast("int").alias("circuits"), lens.line().alias("geometry"), F.col("id").alias("_row"),
+    )
+    return lines.merged_identical(df).select("line_id", "voltage", "circuits")
+
+
+@query(f"SELECT id FROM ({LIN}) l WHERE NOT EXISTS (SELECT 1 FROM ({CHA}) c WHERE c.id = l.relation_id AND c.voltage = 380000)")
+def ways_not_in_relation(spark, d):
+    covered = lens.rows(spark, d, CHA).where("voltage = 380000").select(F.col("id").alias("relation_id"))
+    return lens.rows(spark, d, LIN).join(covered, "relation_id", "left_anti").select("id")
+
+
+@query(f"SELECT id, string_agg(x, ';' ORDER BY x) AS osm_ids FROM (SELECT DISTINCT relation_id AS id, 'way/' || CAST(dup_id AS VARCHAR) AS x FROM ({LIN})) GROUP BY id")
+def osm_ids(spark, d):
+    df = lens.rows(spark, d, LIN).groupBy(F.col("relation_id").alias("id")).agg(F.collect_list(F.concat(F.lit("way/"), F.col("dup_id").cast("string"), F.lit("-220"))).alias("contains"))
+    return df.select("id", ids.osm_ids(F.col("contains")).alias("osm_ids"))
+
+
+# -- graph
+
+
+def _chain(spark, d):
+    return lens.rows(spark, d, CHA).select(F.concat(F.lit("way/"), F.col("id").cast("string"), F.lit("-"), F.floor(F.col("voltage") / 1000).cast("string")).alias("line_id"), F.col("id").alias("n"), "path", "voltage", "circuits", "underground", lens.line().alias("geometry"))
+
+
+@query(f"""WITH e AS (SELECT id, 0 AS k, voltage, x0_u AS x, y0_u AS y FROM ({CHA}) UNION ALL SELECT id, 1, voltage, x1_u, y1_u FROM ({CHA})),
+f AS (SELECT voltage, x, y, min(id) AS n, count(DISTINCT id) AS lines FROM e GROUP BY 1, 2, 3)
+SELECT 'virtual_way/' || CAST(f.n AS VARCHAR) || ':' || CAST(min(e.k) AS VARCHAR) || '-' || CAST(f.voltage // 1000 AS VARCHAR) AS bus_id, CAST(f.voltage AS INT) AS voltage, CAST(f.lines AS INT) AS lines
+FROM f JOIN e ON e.voltage = f.voltage AND e.x = f.x AND e.y = f.y AND e.id = f.n GROUP BY f.n, f.voltage, f.x, f.y, f.lines""")
+def virtual_buses(spark, d):
+    return graph.virtual_buses(_chain(spark, d)).select("bus_id", "voltage", F.size("contains").alias("lines"))
+
+
+@query(f"""WITH RECURSIVE c AS ({CHA}), e AS (SELECT a.id AS a, b.id AS b FROM c a JOIN c b ON b.id = a.id + 1 AND a.path = b.path AND a.circuits = b.circuits AND a.x1_u = b.x0_u AND a.y1_u = b.y0_u),
+s AS (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT DISTINCT u AS id, u AS root FROM s UNION SELECT s.v, r.root FROM r JOIN s ON s.u = r.id)
+SELECT id, min(root) AS component FROM r GROUP BY id""")
+def merge_components(spark, d):
+    """Components of lines that meet alone, with equal circuits."""
+    pairs = graph.pass_through(_chain(spark, d))
+    number = lambda c: ids.number(F.col(c))
+    return graph.connected(pairs.select(number("a").alias("a"), number("b").alias("b")))
+
+
+@query()
+def contract_lines(spark, d):
+    """Lines after contraction, with their length."""
+    none = spark.createDataFrame([], f"bus_id string, geometry {G.POLYGON}")
+    df = build.contracted(_chain(spark, d).select("line_id", "circuits", "voltage", "underground", "geometry"), none)
+    return df.select("line_id", "circuits", "voltage", "underground", F.size("contains_lines").alias("parts"), G.rint(G.length_m(F.col("geometry")), 1).alias("length_m"))
+
+
+# -- geometry
+
+_LAEA = """WITH p AS (SELECT id, k, {x} / 1e6 AS lon, {y} / 1e6 AS lat FROM ({points})),
+q AS (SELECT id, k, radians(lon - {lon0}) AS t, asin(({c1} * (sin(radians(lat)) / (1 - {e2} * sin(radians(lat)) * sin(radians(lat))) - ln((1 - {e} * sin(radians(lat))) / (1 + {e} * sin(radians(lat)))) / {e_2})) / {qp}) AS b FROM p),
+m AS (SELECT id, k, {fe} + {rq} * sqrt(2 / (1 + {sb} * sin(b) + {cb} * cos(b) * cos(t))) * {d} * cos(b) * sin(t) AS x,
+ {fn} + {rq} * sqrt(2 / (1 + {sb} * sin(b) + {cb} * cos(b) * cos(t))) / {d} * ({cb} * sin(b) - {sb} * cos(b) * cos(t)) AS y FROM q)"""
+
+
+def _laea(points: str) -> str:
+    """m(id, k, x, y): the metric places of rows (id, k, x_u, y_u)."""
+    import math
+
+    return _LAEA.format(
+        x="x_u", y="y_u", points=points, lon0=G.LON0, c1=repr(1 - G.E2), e2=repr(G.E2), e=repr(G._E), e_2=repr(2 * G._E), qp=repr(G._QP),
+        fe=G.EAST0, fn=G.NORTH0, rq=repr(G._RQ), d=repr(G._D), sb=repr(math.sin(G._B0)), cb=repr(math.cos(G._B0)),
+    )
+
+
+_ENDS = "SELECT id, 0 AS k, x0_u AS x_u, y0_u AS y_u FROM ({0}) UNION ALL SELECT id, 1, x1_u, y1_u FROM ({0})"
+
+
+@query(_laea(_ENDS.format(CHA)) + " SELECT a.id, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 2) AS length_m FROM m a JOIN m b ON a.id = b.id AND a.k = 0 AND b.k = 1")
+def line_length_m(spark, d):
+    return lens.rows(spark, d, CHA).select("id", F.round(G.length_m(lens.line()), 2).alias("length_m"))
+
+
+_CORNERS = " UNION ALL ".join(f"SELECT id, {k} AS k, cx_u + {dx} * half_u AS x_u, cy_u + {dy} * half_u AS y_u FROM ({SUB})" for k, (dx, dy) in enumerate([(-1, -1), (1, -1), (1, 1), (-1, 1)]))
+
+
+@query(_laea(_CORNERS) + " SELECT a.id, round(abs(sum((a.x - 4e6) * (b.y - 3e6) - (b.x - 4e6) * (a.y - 3e6))) / 2, 0) AS area_m2 FROM m a JOIN m b ON a.id = b.id AND b.k = (a.k + 1) % 4 GROUP BY a.id")
+def polygon_area_m2(spark, d):
+    return lens.rows(spark, d, SUB).select("id", F.round(G.area_m2(lens.square()), 0).alias("area_m2"))
+
+
+@query(f"SELECT id, 'LINESTRING (' || CAST(x0_u / 1e6 AS VARCHAR) || ' ' || CAST(y0_u / 1e6 AS VARCHAR) || ', ' || CAST(x1_u / 1e6 AS VARCHAR) || ' ' || CAST(y1_u / 1e6 AS VARCHAR) || ')' AS geometry FROM ({CHA})")
+def wkt(spark, d):
+    return sinks.as_wkt(lens.rows(spark, d, CHA).select("id", lens.line().alias("geometry")))
+
+
+@query(f"""SELECT '{{"type":"Feature","properties":{{"id":' || CAST(id AS VARCHAR) || '}},"geometry":{{"type":"Point","coordinates":[' || CAST(cx_u / 1e6 AS VARCHAR) || ',' || CAST(cy_u / 1e6 AS VARCHAR) || ']}}}}' AS feature FROM ({SIT})""")
+def geojson(spark, d):
+    return sinks.features(lens.rows(spark, d, SIT).select("id", lens.at("cx_u", "cy_u").alias("geometry")))
+
+
+# -- spatial joins
+
+
+def _sites(spark, d):
+    return lens.rows(spark, d, SIT).select(F.col("id").alias("site"), "grp", lens.square().alias("ring"), lens.at("cx_u", "cy_u").alias("centre"), tags.clean_voltage(F.col("voltage")).alias("levels"))
+
+
+def _spurs(spark, d):
+    return lens.rows(spark, d, SPU).select("id", "voltage", lens.line().alias("geometry"))
+
+
+_INSIDE = "least(s.x0_u, s.x1_u) >= t.cx_u - t.half_u AND greatest(s.x0_u, s.x1_u) <= t.cx_u + t.half_u AND least(s.y0_u, s.y1_u) >= t.cy_u - t.half_u AND greatest(s.y0_u, s.y1_u) <= t.cy_u + t.half_u"
+
+
+@query(f"SELECT DISTINCT s.id FROM ({SPU}) s JOIN ({SIT}) t ON {_INSIDE}")
+def lines_within_polygon(spark, d):
+    spur = _spurs(spark, d).withColumn("box", G.bounds(F.col("geometry")))
+    ring = _sites(spark, d).select("ring").withColumn("box2", G.bounds(F.col("ring")))
+    near = spatial.box_join(spur, ring, "box", "box2", 0.01)
+    return near.where(shapes.inside("geometry", F.array("ring"))).select("id").distinct()
+
+
+@query(f"""SELECT DISTINCT e.id, e.k AS endpoint, t.id AS site FROM ({_ENDS.format(SPU)}) e JOIN ({SIT}) t ON e.x_u >= t.cx_u - t.half_u AND e.x_u < t.cx_u + t.half_u AND e.y_u > t.cy_u - t.half_u AND e.y_u < t.cy_u + t.half_u
+WHERE t.id % 3 <> 2""")
+def endpoint_station_map(spark, d):
+    """Ends of lines and the sites of their voltage that they lie in."""
+    ends = graph.endpoints(_spurs(spark, d), "id").withColumn("box", spatial.box_of_point(F.col("point.lon"), F.col("point.lat")))
+    site = _sites(spark, d).select("site", "levels", "ring").withColumn("box2", G.bounds(F.col("ring")))
+    near = spatial.box_join(ends, site, "box", "box2", 0.01)
+    level = F.array_contains(F.split("levels", ";"), F.col("voltage").cast("string"))
+    return near.where(level & G.in_ring(F.col("point"), F.col("ring"))).select("id", "endpoint", "site").distinct()
+
+
+@query(f"SELECT s.id, t.id AS site FROM ({SPU}) s JOIN ({SIT}) t ON (s.x0_u - t.cx_u) * (s.x0_u - t.cx_u) + (s.y0_u - t.cy_u) * (s.y0_u - t.cy_u) <= 4000 * 4000")
+def distance_join(spark, d):
+    """Starts of lines within a distance, in millionths of a degree, of sites' centres."""
+    spur = lens.rows(spark, d, SPU).select("id", "x0_u", "y0_u").withColumn("box", spatial.box_of_point(F.col("x0_u"), F.col("y0_u"), 4000))
+    site = lens.rows(spark, d, SIT).select(F.col("id").alias("site"), "cx_u", "cy_u").withColumn("box2", spatial.box_of_point(F.col("cx_u"), F.col("cy_u")))
+    dx, dy = F.col("x0_u") - F.col("cx_u"), F.col("y0_u") - F.col("cy_u")
+    return spatial.box_join(spur, site, "box", "box2", 8000, dx * dx + dy * dy <= 4000 * 4000).select("id", "site")
+
+
+# -- stations
+
+
+def _members(spark, d):
+    rows = _sites(spark, d).where("grp >= 0")
+    return rows.select(F.format_string("way/%06d", "site").alias("member"), F.array("ring").alias("shapes"), F.lit(True).alias("is_polygon"))
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT id, grp, grp_type, cx_u FROM ({SIT})),
+e AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.grp = b.grp AND a.id <> b.id AND abs(a.cx_u - b.cx_u) - 2000 <= 13900),
+r AS (SELECT id, id AS root FROM t UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT 'way/' || lpad(CAST(id AS VARCHAR), 6, '0') AS member, 'way/' || lpad(CAST(min(root) AS VARCHAR), 6, '0') AS component FROM r GROUP BY id""")
+def station_clusters(spark, d):
+    """Sites whose squares, widened by the merge radius, overlap."""
+    return build.clustered(_members(spark, d), RADIUS_M).select("member", "component")
+
+
+def _levels(spark, d):
+    rows = lens.rows(spark, d, SIT).select("grp", F.explode(F.split(tags.clean_voltage(F.col("voltage")), ";")).alias("v")).select("grp", F.col("v").cast("int").alias("voltage")).distinct()
+    station = F.concat(F.lit("way/"), F.col("grp").cast("string"))
+    return rows.select(station.alias("station_id"), ids.with_kv(station, F.col("voltage")).alias("bus_id"), "voltage", G.point(F.lit(4.0), F.lit(50.0)).alias("geometry"))
+
+
+_LEVELS = f"SELECT DISTINCT 'way/' || CAST(grp AS VARCHAR) AS station_id, CAST(v AS INT) AS voltage FROM (SELECT grp, unnest(string_split({VOLTAGE_SQL}, ';')) AS v FROM ({SIT}))"
+
+
+@query(f"""WITH t AS ({_LEVELS}) SELECT a.station_id || '-' || CAST(a.voltage // 1000 AS VARCHAR) || '-' || CAST(b.voltage // 1000 AS VARCHAR) AS transformer_id, a.station_id,
+ CAST(a.voltage // 1000 AS INT) AS voltage_bus0_kv, CAST(b.voltage // 1000 AS INT) AS voltage_bus1_kv FROM t a JOIN t b ON a.station_id = b.station_id AND a.voltage > b.voltage""")
+def transformers(spark, d):
+    return build.transformers(_levels(spark, d)).select("transformer_id", "station_id", "voltage_bus0_kv", "voltage_bus1_kv")
+
+
+@query(f"""WITH t AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY voltage DESC) - 1 AS i, count(*) OVER (PARTITION BY station_id) AS n FROM ({_LEVELS}))
+SELECT station_id, voltage, 15 * round(sin(pi() / 4 + 2 * pi() * i / n), 4) AS dx, 15 * round(cos(pi() / 4 + 2 * pi() * i / n), 4) AS dy FROM t""")
+def bus_offsets(spark, d):
+    from pyspark.sql import Window
+
+    station = Window.partitionBy("station_id")
+    dx, dy = G.ring_offset(F.count("*").over(station), F.row_number().over(station.orderBy(F.desc("voltage"))) - 1)
+    return _levels(spark, d).select("station_id", "voltage", dx.alias("dx"), dy.alias("dy"))
+
+
+# -- map
+
+
+@query(f"SELECT id, CASE {' '.join(f'''WHEN voltage_kv >= {a}{f' AND voltage_kv <= {b}' if b else ''} THEN '{c}' ''' for a, b, c in rules.PALETTE)} END AS color FROM ({KV})")
+def line_colors(spark, d):
+    return lens.rows(spark, d, KV).select("id", mapview.line_color(F.col("voltage_kv")).alias("color"))
+
+
+@query(f"SELECT id, CAST(unnest(range(greatest(circuits, 1))) AS INT) AS circuit_index, CAST(greatest(circuits, 1) AS INT) AS circuit_count FROM ({KV})")
+def expand_circuits(spark, d):
+    return search.circuit_rows(lens.rows(spark, d, KV)).select("id", "circuit_index", "circuit_count")
+
+
+@query(f"SELECT id FROM ({KV}) WHERE (contains(lower(name), '1') AND (contains(CAST(voltage_kv AS VARCHAR), '22') OR contains(CAST(id AS VARCHAR), '22') OR contains(CAST(circuits AS VARCHAR), '22') OR contains(lower(name), '22'))) OR contains(CAST(voltage_kv AS VARCHAR), '500') OR contains(CAST(id AS VARCHAR), '500') OR contains(lower(name), '500')")
+def search_filter(spark, d):
+    """(part-1 and 22) or 500, over all columns; every name holds "part"."""
+    df = lens.rows(spark, d, KV)
+    names = [F.col(c) for c in ("name",)]
+    left = search.compiled(search.parse("1"), names) & search.compiled(search.parse("22"), [F.col(c) for c in df.columns])
+    return df.where(left | search.compiled(search.parse("(500"), [F.col(c) for c in df.columns])).select("id")
+
+
+@query(f"""SELECT id FROM ({KV}) WHERE (contains(lower(name), 'a') OR contains(CAST(id AS VARCHAR), 'a')) AND (CAST(voltage_kv AS VARCHAR) LIKE '%3%' OR CAST(id AS VARCHAR) LIKE '%3%' OR CAST(circuits AS VARCHAR) LIKE '%3%' OR name LIKE '%3%')
+ OR (CAST(voltage_kv AS VARCHAR) LIKE '%41%' OR CAST(id AS VARCHAR) LIKE '%41%' OR CAST(circuits AS VARCHAR) LIKE '%41%' OR name LIKE '%41%')""")
+def search_query(spark, d):
+    """A text query, parsed and compiled."""
+    return search.searched(lens.rows(spark, d, KV), "A & 3 | (41) &").select("id")
+
+
+@query(f"SELECT id, voltage_kv FROM ({KV}) WHERE voltage_kv IN (220, 380)")
+def voltage_filter(spark, d):
+    return search.with_voltage(lens.rows(spark, d, KV), [220, 380]).select("id", "voltage_kv")
+
+
+@query(f"SELECT DISTINCT CAST(v AS INT) AS voltage_kv FROM (SELECT voltage_kv AS v FROM ({KV}) UNION ALL SELECT voltage // 1000 FROM ({CHA}))")
+def available_voltages(spark, d):
+    chain = lens.rows(spark, d, CHA).select((F.col("voltage") / 1000).cast("int").alias("voltage_kv"))
+    return search.voltages(lens.rows(spark, d, KV), chain)
+
+
+@query(f"""SELECT '<table><tr><th>id</th><td>' || CAST(id AS VARCHAR) || '</td></tr><tr><th>osm_ids</th><td><a href="https://www.openstreetmap.org/way/' || CAST(id AS VARCHAR) || '" target="_blank">way/' || CAST(id AS VARCHAR) || '</a></td></tr></table>' AS tooltip FROM ({KV})""")
+def tooltips(spark, d):
+    df = lens.rows(spark, d, KV).select("id", F.concat(F.lit("way/"), F.col("id").cast("string")).alias("osm_ids"))
+    return df.select(mapview.tooltip(df).alias("tooltip"))
+
+
+# -- kernels
+
+
+def _bends(spark, d):
+    """Lines with a few corners, from chains of one path."""
+    df = _chain(spark, d).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("n", "geometry"))).alias("g"))
+    line = F.flatten(F.transform("g", lambda x: x["geometry"]))
+    wave = F.transform(line, lambda p, i: F.struct(p["lon"].alias("lon"), (p["lat"] + 0.0002 * (i % 3)).alias("lat")))
+    return df.select("path", F.transform("g", lambda x: x["geometry"]).alias("parts"), wave.alias("geometry"))
+
+
+@query(f"SELECT path, 1 AS parts, CAST(count(*) + 1 AS INT) AS points FROM ({CHA}) GROUP BY path")
+def linemerge(spark, d):
+    merged = _bends(spark, d).select("path", shapes.merged("parts").alias("m"))
+    return merged.select("path", F.size("m").alias("parts"), F.size(F.col("m")[0]).alias("points"))
+
+
+@query()
+def simplify_lines(spark, d):
+    out = _bends(spark, d).select("path", F.size("geometry").alias("before"), shapes.simplified_m("geometry", F.lit(30.0)).alias("g"))
+    return out.select("path", "before", F.size("g").alias("after"))
+
+
+@query(f"SELECT id, 5 AS points FROM ({SUB})")
+def convex_hull(spark, d):
+    """The hull of a square's corners and its middle."""
+    df = lens.rows(spark, d, SUB)
+    return df.select("id", F.size(shapes.hull(F.concat(lens.square(), F.array(lens.at("cx_u", "cy_u"))))).alias("points"))
+
+
+@query(f"SELECT id, cx_u / 1e6 AS lon, cy_u / 1e6 AS lat FROM ({SUB})")
+def polylabel(spark, d):
+    """The pole of a square is its middle."""
+    p = shapes.pole(lens.square(), F.lit(1e-7))
+    return lens.rows(spark, d, SUB).select("id", p.alias("p")).select("id", F.round("p.lon", 6).alias("lon"), F.round("p.lat", 6).alias("lat"))
+
+
+@query(f"SELECT id, 2 AS parts, round((half_u * 2) / 1e6, 6) AS cut FROM ({SUB})")
+def clip_lines(spark, d):
+    """A line through a square loses what is inside."""
+    df = lens.rows(spark, d, SUB)
+    line = F.array(G.point((F.col("cx_u") - 30000) / 1e6, F.col("cy_u") / 1e6), G.point((F.col("cx_u") + 30000) / 1e6, F.col("cy_u") / 1e6))
+    out = df.select("id", shapes.clipped(line, F.array(lens.square())).alias("p"))
+    far = F.aggregate("p", F.lit(0.0), lambda a, x: a + F.element_at(x, -1)["lon"] - F.element_at(x, 1)["lon"])
+    return out.select("id", F.size("p").alias("parts"), F.round(F.lit(0.06) - far, 6).alias("cut"))
+
+
+@query(f"SELECT path, CAST(count(*) AS INT) AS parts FROM ({CHA}) GROUP BY path")
+def split_overpassing(spark, d):
+    """A line along each path, cut at the path's places, named by letters."""
+    chain = _chain(spark, d)
+    whole = chain.groupBy("path", "voltage").agg(F.min_by("geometry", "n").alias("a"), F.max_by("geometry", "n").alias("z"))
+    df = whole.select(ids.with_kv(F.concat(F.lit("way/"), F.col("path").cast("string")), F.col("voltage")).alias("line_id"), "voltage", F.array(F.col("a")[0], F.col("z")[1]).alias("geometry"))
+    spots = chain.select(F.explode("geometry").alias("geometry"))
+    out = build.split_overpassing(df, spots)
+    return out.groupBy(ids.number(F.col("line_id")).alias("path")).agg(F.count("*").cast("int").alias("parts"))
+
+
+def _network(spark, d) -> dict[str, DataFrame]:
+    """The network of the chains, with a substation at the start of each path."""
+    chain = _chain(spark, d)
+    start = lens.rows(spark, d, CHA).where("id % 7 = 0").withColumns({"cx_u": F.col("x0_u"), "cy_u": F.col("y0_u"), "half_u": F.lit(300)})
+    name = F.concat(F.lit("way/9"), F.col("path").cast("string"))
+    subs = start.select(name.alias("bus_id"), "voltage", F.lit("BE").alias("country"), F.lit(False).alias("under_construction"), F.lit(None).cast("date").alias("start_date"), name.alias("contains"), lens.at("cx_u", "cy_u").alias("geometry"))
+    rings = start.select(name.alias("bus_id"), "voltage", F.array(lens.square()).alias("geometry"))
+    df = chain.select(ids.base(F.col("line_id")).alias("line_id"), "circuits", "voltage", "underground", F.lit(False).alias("under_construction"), F.lit(None).cast("date").alias("start_date"), F.array(ids.base(F.col("line_id"))).alias("contains"), "geometry")
+    return build.built(subs, rings, df, C.Config(network=C.Network(station_merge_radius_m=60.0)))
+
+
+@query(f"""WITH t AS (SELECT path, circuits, count(*) AS n, min(id) AS a FROM ({CHA}) GROUP BY path, circuits)
+SELECT CAST(count(*) AS BIGINT) AS lines, CAST(sum(n) AS BIGINT) AS ways, CAST(sum(circuits) AS BIGINT) AS circuits FROM t""")
+def build_network(spark, d):
+    """All of a network: its lines, the ways in them, and their circuits."""
+    found = _network(spark, d)["lines"]
+    return found.agg(F.count("*").alias("lines"), F.sum(F.size(F.split("osm_ids", ";"))).alias("ways"), F.sum("circuits").cast("bigint").alias("circuits"))
+
+
+@query()
+def network_buses(spark, d):
+    return _network(spark, d)["buses"].select("bus_id", "station_id", "voltage_kv", "osm_ids")
