@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltmesh.llm.sql import CHAT, DECONTAMINATION
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -91,4 +93,4 @@ QUERIES: dict[str, Query] = {
     for f in (op1_quality, op2_decontamination, op3_bpe, op4_chat, op5_neighbours, op6_shards, op7_licenses, op8_language, op9_neardup, op10_lmscore)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_decontamination": DECONTAMINATION, "op4_chat": CHAT}
