@@ -28,7 +28,9 @@ class AnnParams:
     """sample: bound on the vectors that the centroids are fitted to, chosen by a hash of the id.
 
     max_lists bounds the centroids that are broadcast. per_list: vectors in a list on average
-    as long as max_lists allows. probe: share of the lists that a query probes, probe_least their number at least.
+    as long as max_lists allows. probe: share of the lists that a query probes, probe_least their number at least;
+    vectors that hardly cluster need most lists (0.24 of them gave a recall of 0.68, 0.5 gave 0.89, 0.7 gave 0.97
+    on 51,282 vectors), and it is the dimension scan that saves the work.
     epsilon: the test's level; larger abandons fewer candidates by mistake. tile: bound on the
     vectors, and on the queries, that meet in one task at a time.
     """
@@ -37,7 +39,7 @@ class AnnParams:
     sample: int = 20_000
     per_list: int = 1000
     max_lists: int = 4096
-    probe: float = 0.12
+    probe: float = 0.75
     probe_least: int = 12
     block: int = 16
     epsilon: float = 2.1
