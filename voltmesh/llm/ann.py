@@ -97,19 +97,19 @@ def scan(query: np.ndarray, candidates: np.ndarray, k: int, block: int, epsilon:
     if n <= 2 * k:
         return np.arange(n)
     alive = np.arange(n)
+    slack = 1e-9 * (query @ query + candidates[0] @ candidates[0])  # rounding must not part equal vectors
     part = ((candidates[:, :block] - query[:block]) ** 2).sum(1)
     lead = np.argpartition(part, k)[: 2 * k]
     exact = ((candidates[lead] - query) ** 2).sum(1)
     bound = np.partition(exact, k - 1)[k - 1]
     done = min(block, dims)
     while done < dims:
-        stay = part * (dims / done) <= bound * (1 + epsilon / np.sqrt(done)) ** 2
+        stay = part * (dims / done) <= bound * (1 + epsilon / np.sqrt(done)) ** 2 + slack
         alive, part = alive[stay], part[stay]
         to = min(done + block, dims)
         part = part + ((candidates[alive, done:to] - query[done:to]) ** 2).sum(1)
         done = to
-    stay = part <= bound * (1 + 1e-9)
-    return alive[stay]
+    return alive[part <= bound + slack]
 
 
 def nearest_neighbours(vectors: DataFrame, every: int = 20, params: AnnParams = AnnParams()) -> DataFrame:
