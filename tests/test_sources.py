@@ -52,6 +52,7 @@ def test_pbf_source_and_resolver(spark, tmp_path):
     whole = elements.resolved(of("node").select("id", "lat", "lon", "tags"), of("way").select("id", "refs", "tags"), of("relation").select("id", "members", "tags"))
     tables = elements.payloads(whole)
     assert {k: v.count() for k, v in tables.items()} == {"lines_way": 1, "cables_way": 0, "substations_way": 0, "substations_node": 1, "substations_relation": 1, "routes_relation": 0}
+    assert pbf.retrieved(spark, str(tmp_path / "x.pbf"), False)["substations_node"].count() == 1
     assert len(tables["lines_way"].first().geometry) == 2 and len(tables["substations_relation"].first().members[0].geometry) == 2
 
 

@@ -166,3 +166,16 @@ class OsmPbf(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
+
+
+def retrieved(spark, path: str, include_relations: bool = True):
+    """The six feature tables of an extract; routes are empty where relations are not included."""
+    from voltmesh.sources import elements
+
+    spark.dataSource.register(OsmPbf)
+    raw = spark.read.format("osm_pbf").load(path)
+    of = lambda kind, *columns: raw.where(raw["type"] == kind).select("id", *columns, "tags")
+    tables = elements.payloads(elements.resolved(of("node", "lat", "lon"), of("way", "refs"), of("relation", "members")))
+    if not include_relations:
+        tables["routes_relation"] = tables["routes_relation"].limit(0)
+    return tables
