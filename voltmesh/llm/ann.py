@@ -37,13 +37,13 @@ class AnnParams:
 
     k: int = 20
     sample: int = 20_000
-    per_list: int = 1000
+    per_list: int = 5000
     max_lists: int = 4096
     probe: float = 0.75
-    probe_least: int = 12
+    probe_least: int = 6
     block: int = 16
     epsilon: float = 2.1
-    tile: int = 4096
+    tile: int = 8192
     seed: int = 11
 
 
@@ -86,10 +86,16 @@ def _nearest(x: np.ndarray, centre: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def scan(query: np.ndarray, candidates: np.ndarray, k: int, block: int, epsilon: float) -> np.ndarray:
+def first_block(queries: np.ndarray, candidates: np.ndarray, block: int) -> np.ndarray:
+    """Squared distances over the first block of columns, queries by candidates."""
+    q, c = queries[:, :block], candidates[:, :block]
+    return (q * q).sum(1)[:, None] + (c * c).sum(1) - 2 * (q @ c.T)
+
+
+def scan(query: np.ndarray, candidates: np.ndarray, part: np.ndarray, k: int, block: int, epsilon: float) -> np.ndarray:
     """Rows of candidates that may be among the k nearest to query, by partial distances over blocks of columns.
 
-    Both are rotated. A candidate goes when its partial distance, scaled to all dimensions,
+    Both are rotated; part is the query's row of first_block(). A candidate goes when its partial distance, scaled to all dimensions,
     exceeds the bound by more than chance allows; the bound is the k-th exact distance among
     those that lead after the first block.
     """
@@ -98,7 +104,6 @@ def scan(query: np.ndarray, candidates: np.ndarray, k: int, block: int, epsilon:
         return np.arange(n)
     alive = np.arange(n)
     slack = 1e-9 * (query @ query + candidates[0] @ candidates[0])  # rounding must not part equal vectors
-    part = ((candidates[:, :block] - query[:block]) ** 2).sum(1)
     lead = np.argpartition(part, k)[: 2 * k]
     exact = ((candidates[lead] - query) ** 2).sum(1)
     bound = np.partition(exact, k - 1)[k - 1]
@@ -188,12 +193,16 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, params: AnnParams =
         ids = all_here["vec_id"].to_numpy()
         turned = lifted(plain) @ turn
         out = []
-        for q, v in zip(mine["vec_id"], mine["embedding"], strict=True):
-            found = scan(np.append(v, 0.0) @ turn, turned, k + 1, block, epsilon)
-            found = found[ids[found] != q]
-            score = (plain[found] * v).sum(1)
-            best = np.lexsort((ids[found], -score))[:k]
-            out.append((np.full(len(best), q), ids[found][best], score[best]))
+        asked_ids, asked_plain = mine["vec_id"].to_numpy(), np.stack(mine["embedding"].to_numpy())
+        asked_turned = np.hstack([asked_plain, np.zeros((len(mine), 1))]) @ turn
+        for at in range(0, len(mine), 64):
+            parts = first_block(asked_turned[at : at + 64], turned, block)
+            for q, v, t, part in zip(asked_ids[at : at + 64], asked_plain[at : at + 64], asked_turned[at : at + 64], parts, strict=True):
+                found = scan(t, turned, part, k + 1, block, epsilon)
+                found = found[ids[found] != q]
+                score = (plain[found] * v).sum(1)
+                best = np.lexsort((ids[found], -score))[:k]
+                out.append((np.full(len(best), q), ids[found][best], score[best]))
         if not out:
             return none
         return pd.DataFrame({x: np.concatenate([o[i] for o in out]) for i, x in enumerate(none.columns)})
