@@ -68,6 +68,34 @@ def test_language_model(docs, empty):
     assert score_documents(empty, fit_network(empty)).collect() == []
 
 
+def test_language_model_gathers_from_the_whole_corpus(spark):
+    import math
+    import random
+
+    from voltmesh.llm.lmscore import LmParams
+
+    # More different words than ids, of which the table holds some; words of one doc occur once, of the other thrice.
+    rows = [(i, " ".join(f"w{j}" for j in range(20 * i, 20 * i + 20))) for i in range(300)] + [(1000 + k, " ".join(f"w{j}" for j in range(5000))) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = [f"w{i}" for i in range(6000)] + ["never"]
+    alone = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    for p in (LmParams(), LmParams(table=5500)):
+        network = fit_network(docs, p)
+        assert (network.rest is None) == (p.table > 6000)
+        got = {words[r.doc_id]: r.log_likelihood for r in score_documents(alone, network).collect()}
+        assert len(got) == 6001 and abs(sum(map(math.exp, got.values())) - 1) < 1e-3
+        rare = sorted(set(got[f"w{i}"] for i in range(5000, 6000)))
+        assert rare[-1] - rare[0] < 1e-9 and got["never"] < rare[0] - 0.6
+
+    # A sample of hardly any documents: what the others show is learned all the same.
+    rng = random.Random(1)
+    pairs = [(i, " ".join(f"a{k} b{k}" for k in (rng.randrange(30) for _ in range(60)))) for i in range(2000)]
+    network = fit_network(spark.createDataFrame(pairs, "doc_id long, text string"), LmParams(train_docs=1))
+    right, wrong = "a1 b1 a2 b2 a3 b3 a4 b4", "a1 b2 a3 b4 a2 b1 a4 b3"
+    got = {r.doc_id: r.log_likelihood for r in score_documents(spark.createDataFrame([(0, right), (1, wrong)], "doc_id long, text string"), network).collect()}
+    assert got[0] > got[1] + 4
+
+
 def test_words_are_the_same_in_any_run():
     import pyarrow as pa
 

@@ -2,13 +2,16 @@
 
 A bidirectional window network predicts each token from the tokens on both its sides; the
 sum of the conditional log-probabilities scores a document. Word counts over all documents
-give the vocabulary and the network's starting biases; the network itself is trained with
-numpy. The output is factored into classes of words and words within a class, so that a
-token costs two short softmaxes.
+give the vocabulary and the network's starting biases. A sample gives starting weights; then
+each task trains them with numpy on all its documents, and their changes are averaged. The
+output is factored into classes of words and words within a class, so that a token costs two
+short softmaxes. Words beyond the network's ids share its id 0, and each has its share of it
+by its count over all documents: no two words of the corpus are one.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltmesh.llm.shared import settle
 from voltmesh.llm.words import NOT_ALNUM, hashed_words, mix
 
 
@@ -25,7 +29,9 @@ class LmParams:
     """side * side ids: the most frequent words of the corpus, and id 0 for all others.
 
     train_docs bounds the documents, chosen by a hash of the id, and train_chunks the pieces of
-    chunk tokens taken of each, on which the network is trained; the word counts cover all documents.
+    chunk tokens taken of each, that give the starting weights. All tokens of all documents then
+    train them, wide to a step, or fewer where a run of texts has few, but least. table bounds the words whose counts each task holds; those of
+    all other words are joined.
     """
 
     side: int = 64
@@ -35,6 +41,9 @@ class LmParams:
     train_chunks: int = 8
     chunk: int = 128
     batch: int = 2048
+    wide: int = 8192
+    least: int = 256
+    table: int = 500_000
     rate: float = 0.15
     seed: int = 5
 
@@ -44,6 +53,7 @@ class LmParams:
 
 
 _FLUSH = 500_000
+_ONE = 1 << 40
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -65,9 +75,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Ids of the most frequent words by rank from 1; 0 stands for every other word."""
+    """Ids of the most frequent words by rank from 1; 0 stands for every other word, which has its count's share of it.
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, size: int):
+    words and counts go by rank, and those beyond size - 1 are held only for their counts; total and
+    distinct are the numbers of words and of different ones in the corpus. One more word stands for all unseen ones.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, size: int):
+        words, more, counts, n_more = words[: size - 1], words[size - 1 :], counts[: size - 1], counts[size - 1 :]
+        order = np.argsort(more.view(np.uint64))
+        self.more, self.logs = more.view(np.uint64)[order], np.log1p(n_more[order])
+        self.unseen = -np.log(total - counts.sum() + distinct - len(words) + 1.0)
         order = np.argsort(words.view(np.uint64))
         self.words, self.ids = words.view(np.uint64)[order], (order + 1).astype(np.int32)
         self.counts = np.ones(size)
@@ -81,6 +99,18 @@ class Vocabulary:
         at[at == len(self.words)] = 0
         return np.where(self.words[at] == hashes, self.ids[at], 0).astype(np.int32)
 
+    def shares(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of the share of id 0 of each word beyond the ids, and which of them are not held: these count as unseen here."""
+        if not len(self.more):
+            return np.full(len(hashes), self.unseen), np.ones(len(hashes), bool)
+        at = np.searchsorted(self.more, hashes)
+        at[at == len(self.more)] = 0
+        held = self.more[at] == hashes
+        return self.unseen + np.where(held, self.logs[at], 0.0), ~held
+
+
+WEIGHTS = ("embed", "to_class", "class_bias", "to_word", "word_bias")
+
 
 class WindowNetwork:
     """Predicts a token from reach tokens on each side: tanh of summed embeddings, then class and word."""
@@ -96,7 +126,17 @@ class WindowNetwork:
         self.class_bias = np.log(share.sum(1) / share.sum()).astype(f)
         self.to_word = (rng.standard_normal((side, dim, side)) * 0.05).astype(f)
         self.word_bias = np.log(share / share.sum(1, keepdims=True)).astype(f)
-        self.squares = {x: np.full_like(getattr(self, x), 1e-3) for x in ("embed", "to_class", "class_bias", "to_word", "word_bias")}
+        self.squares = {x: np.full_like(getattr(self, x), 1e-3) for x in WEIGHTS}
+        #: (word, n) of the words that the vocabulary does not hold, or None if it holds all.
+        self.rest: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rest": None}
+
+    def rows(self, name: str) -> np.ndarray:
+        """The weights as rows that are averaged by themselves: one for each context word, class, or all of them."""
+        x = getattr(self, name)
+        return x.reshape({"embed": (-1, self.p.dim), "to_word": (self.p.side, -1), "word_bias": (self.p.side, -1)}.get(name, (1, -1)))
 
     def contexts(self, tokens: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Ids around each token of its own text, which spans first to last; the id after the vocabulary stands beyond its ends."""
@@ -162,9 +202,9 @@ class WindowNetwork:
         back *= 1 - h * h
         for j in range(len(around)):
             ids, where = np.unique(around[j], return_inverse=True)
-            total = np.zeros((len(ids), self.p.dim), np.float32)
-            np.add.at(total, where, back)
-            self._step("embed", (j, ids), total)
+            cells = where[:, None] * self.p.dim + np.arange(self.p.dim)
+            total = np.bincount(cells.ravel(), back.ravel(), len(ids) * self.p.dim).reshape(-1, self.p.dim)
+            self._step("embed", (j, ids), total.astype(np.float32))
 
 
 def _spans(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,18 +213,73 @@ def _spans(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(offsets[:-1], size), np.repeat(offsets[1:], size)
 
 
+_SLICE = 128
+
+
+def _train(docs: DataFrame, network: WindowNetwork) -> None:
+    """Trains the network on all tokens of docs: each task from the same weights on its own texts, then the mean change of each row of weights by how often the tasks used it."""
+    p = network.p
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, rng = copy.deepcopy(shared.value), np.random.default_rng(p.seed)
+        used = {"embed": np.zeros(2 * p.reach * (p.size + 1)), "to_word": np.zeros(p.side)}
+        for batch in batches:
+            for _, words, offsets in hashed_words(batch.column(0), NOT_ALNUM):
+                tokens = net.vocabulary.of(words)
+                around = net.contexts(tokens, *_spans(offsets))
+                order = rng.permutation(len(tokens))
+                wide = min(p.wide, max(p.least, len(order) // 32))
+                for at in range(0, len(order), wide):
+                    mine = order[at : at + wide]
+                    net.learn(tokens[mine], around[:, mine])
+                used["embed"] += np.concatenate([np.bincount(a, minlength=p.size + 1) for a in around])
+                used["to_word"] += np.bincount(tokens // p.side, minlength=p.side)
+        used["word_bias"] = used["to_word"]
+        used["to_class"] = used["class_bias"] = used["to_word"].sum(keepdims=True)
+        if used["to_class"][0]:
+            for name in WEIGHTS:
+                n = used[name]
+                change = (net.rows(name) - shared.value.rows(name)) * n[:, None]
+                at = range(0, len(n), _SLICE)
+                columns = [pa.array([name] * len(at)), pa.array(list(at), pa.int32()), pa.array([n[i : i + _SLICE].tobytes() for i in at]), pa.array([change[i : i + _SLICE].astype(np.float32).tobytes() for i in at])]
+                yield pa.RecordBatch.from_arrays(columns, names=["name", "at", "n", "change"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], list[np.ndarray]] = {}
+        for batch in batches:
+            for name, at, n, change in zip(*(batch.column(i) for i in range(4)), strict=True):
+                here = np.frombuffer(n.as_buffer(), np.float64), np.frombuffer(change.as_buffer(), np.float32).astype(np.float64)
+                have = sums.get(key := (name.as_py(), at.as_py()))
+                sums[key] = [x + y for x, y in zip(have, here, strict=True)] if have else list(here)
+        for (name, at), (n, change) in sums.items():
+            mean = change.reshape(len(n), -1) / np.maximum(n, 1)[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int32()), pa.array([mean.tobytes()])], names=["name", "at", "mean"])
+
+    parts = docs.select("text").mapInArrow(run, "name string, at int, n binary, change binary").repartition("name", "at")
+    for name, at, mean in zip(*parts.mapInArrow(add, "name string, at int, mean binary").toArrow().columns, strict=True):
+        rows = network.rows(name.as_py())[at.as_py() : at.as_py() + _SLICE]
+        rows += np.frombuffer(mean.as_buffer(), np.float64).reshape(len(rows), -1).astype(np.float32)
+
+
+def _frequent(counts: DataFrame, p: LmParams) -> tuple[DataFrame, int, int, int]:
+    """The words above the least count that leaves no more than p.table of them; that count, and the numbers of all words and of different ones."""
+    by_n = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toPandas().astype(np.int64)
+    n, words = by_n["n"].to_numpy(), by_n["words"].to_numpy()
+    fit = int((np.cumsum(words) <= p.table).sum())
+    least = int(n[fit - 1]) if fit else int(n.max(initial=0)) + 1
+    return counts.where(F.col("n") >= least), least, int((n * words).sum()), int(words.sum())
+
+
 def fit_network(docs: DataFrame, params: LmParams = LmParams()) -> WindowNetwork:
-    """Counts the words of all documents, then trains on a bounded sample of their tokens."""
+    """Counts the words of all documents, takes starting weights from a sample, then trains on all tokens."""
     p = params
-    counts = word_counts(docs)
-    counts = counts.persist()
-    try:
-        total = int(counts.agg(F.sum("n")).first()[0] or 0)
-        best = counts.orderBy(F.desc("n"), "word").limit(p.size - 1).toPandas()
-    finally:
-        counts.unpersist()
-    vocabulary = Vocabulary(best["word"].to_numpy(np.int64), best["n"].to_numpy(np.int64), total, p.size)
+    counts = settle(word_counts(docs), "lm-words")
+    chosen, least, total, distinct = _frequent(counts, p)
+    best = chosen.toPandas().sort_values(["n", "word"], ascending=[False, True])
+    vocabulary = Vocabulary(best["word"].to_numpy(np.int64), best["n"].to_numpy(np.int64), total, distinct, p.size)
     network = WindowNetwork(vocabulary, p)
+    network.rest = counts.where(F.col("n") < least) if len(best) < distinct else None
     rows = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     share = min(1.0, p.train_docs / max(1, rows.count()))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("doc_id", "text")
@@ -212,6 +307,7 @@ def fit_network(docs: DataFrame, params: LmParams = LmParams()) -> WindowNetwork
         for at in range(0, len(order), p.batch):
             mine = order[at : at + p.batch]
             network.learn(tokens[mine], around[:, mine])
+    _train(docs, network)
     network.squares = {}
     return network
 
@@ -219,15 +315,16 @@ def fit_network(docs: DataFrame, params: LmParams = LmParams()) -> WindowNetwork
 def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
     """doc_id, n_tokens, n_unknown, log_likelihood (the sum over all tokens) and mean_log_likelihood for each row of docs.
 
-    One row for each input row, whole texts. Texts without words, null ones among them, have no
+    n_unknown counts the words beyond the network's ids; each is scored by its own count. One row for each input row, whole texts. Texts without words, null ones among them, have no
     tokens, sum 0 and a null mean. Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    shared, joins = docs.sparkSession.sparkContext.broadcast(network), network.rest is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
-            n, unknown, total = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.float64))
+            n, unknown, total, far = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.float64, np.int64))
+            rest = [np.empty(0, np.int64)]
             for row, words, offsets in hashed_words(batch.column(1), NOT_ALNUM):
                 tokens = net.vocabulary.of(words)
                 rows = slice(row, row + len(offsets) - 1)
@@ -240,10 +337,24 @@ def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
                     around = net.contexts(tokens[lo:hi], first[lo:hi] - lo, last[lo:hi] - lo)
                     inner = slice(at - lo, min(at + (1 << 14), len(tokens)) - lo)
                     gains[at : at + (1 << 14)] = net.log_probability(tokens[lo:hi][inner], around[:, inner])
+                where = np.flatnonzero(tokens == 0)
+                shares, gone = net.vocabulary.shares(words[where])
+                gains[where] += shares
                 sums, unk = np.concatenate([[0.0], np.cumsum(gains)]), np.concatenate([[0], np.cumsum(tokens == 0)])
                 total[rows] = sums[offsets[1:]] - sums[offsets[:-1]]
                 unknown[rows] = unk[offsets[1:]] - unk[offsets[:-1]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(unknown), pa.array(total)], names=["doc_id", "n_tokens", "n_unknown", "log_likelihood"])
-
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_unknown long, log_likelihood double")
+                if joins:
+                    far[rows] = np.diff(np.searchsorted(where[gone], offsets))
+                    rest.append(words[where[gone]].view(np.int64))
+            ends = np.concatenate([[0], np.cumsum(far)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(unknown), pa.array(total), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest)))], names=["doc_id", "n_tokens", "n_unknown", "log_likelihood", "rest"])
+
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_unknown long, log_likelihood double, rest array<long>")
+    if joins:
+        out = settle(out.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+        # Whole numbers, so that the sum does not depend on the order of rows.
+        log = F.round(F.log1p("n") * F.lit(float(_ONE))).cast("long")
+        more = out.select("row", F.explode("rest").alias("word")).join(network.rest, "word").groupBy("row").agg(F.sum(log).alias("more"))
+        out = out.drop("rest").join(more, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("more") / F.lit(float(_ONE)), F.lit(0.0)))
+    out = out.select("doc_id", "n_tokens", "n_unknown", "log_likelihood")
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
