@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from voltmesh.llm.bpe import WordTable, encode_documents
-from voltmesh.llm.licenses import TEMPLATES, find_licenses, license_report
+from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report
 from voltmesh.llm.queries import vocabulary
 from voltmesh.llm.shards import assign_shards, least_loaded
 
@@ -49,6 +49,20 @@ def test_licences_and_changed_wordings(spark):
     assert got[1].words_apart == 0 and got[2].words_apart > 0 and got[4].n_found == 0
 
 
+def test_all_licences_of_a_block_are_found():
+    scanner = Scanner(TEMPLATES, LicenseParams())
+    found = lambda text: {x[1]: x[3:] for x in scanner.scan(text)}
+    names = ["CC-BY-4.0", "MIT", "Apache-2.0", "GPL-3.0"]
+    assert found("\n".join(TEMPLATES[n] for n in names)) == dict.fromkeys(names, (0, 0))
+    assert found("\n".join(TEMPLATES.values())) == dict.fromkeys(TEMPLATES, (0, 0))
+    # One sentence within a long run without sentence ends, and words of it that stand before.
+    long = " ".join(f"word{i}" for i in range(400))
+    assert found(f"{long} licensed under the law {TEMPLATES['MIT']} {long}") == {"MIT": (0, 0)}
+    assert found(f"Permission {long} {TEMPLATES['ISC']} {long} Permission to use") == {"ISC": (0, 0)}
+    changed = TEMPLATES["MIT notice"].replace("free of charge", "at no charge").removeprefix("Permission is ")
+    assert sum(found(f"{long} {changed} {long}")["MIT notice"]) > 0
+
+
 def test_shards_keep_groups_and_balance(spark):
     rng = random.Random(3)
     rows = [(i, "z" * rng.randint(1, 400)) for i in range(1500)] + [(2000 + i, "hot" * 20) for i in range(700)] + [(5000, None), (5001, ""), (5002, "é"), (5002, "é")]
