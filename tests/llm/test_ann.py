@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 
 from voltmesh.llm.ann import AnnParams, nearest_neighbours
@@ -36,6 +38,19 @@ def test_small_table_is_exact_with_ties_and_unusable_rows(spark):
         np.testing.assert_allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-12)
 
 
+def test_rows_that_share_an_id_are_queries_of_their_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(1, 90)]
+    rows += [rows[19]] * 2 + [(40, rng.standard_normal(8).astype(np.float32).tolist())]
+    got = Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in nearest_neighbours(table(spark, rows), every=20).collect())
+    want = Counter()
+    for a, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            found = sorted((-float(np.dot(np.array(v, float), np.array(w, float))), i) for b, (i, w) in enumerate(rows) if a != b)[:20]
+            want.update((q, n + 1, i, round(-s, 9)) for n, (s, i) in enumerate(found))
+    assert got == want and sum(got.values()) == 20 * 7
+
+
 def test_fewer_candidates_than_asked_and_empty(spark):
     rows = [(20, [1.0, 2.0]), (21, [3.0, 1.0]), (40, [0.5, 0.5])]
     assert [i for i, _ in collected(nearest_neighbours(table(spark, rows), every=20))[20]] == [21, 40]

@@ -123,12 +123,13 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, params: AnnParams =
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do those
     whose length differs from that of the smallest vec_id. Ties go to the smaller vec_id; if a
-    vec_id repeats, each of its vectors is a candidate and a query of its own kind. Fewer
+    vec_id repeats, each of its rows is a candidate, of the others too, and a query with ranks of its own. Fewer
     candidates than k are all given. An empty table gives no rows; other columns are ignored.
     """
     p = params
     spark = vectors.sparkSession
-    all_ = settle(usable(vectors), "ann-vectors")
+    # A key of each row, as a vec_id can repeat; settled, so that it stays.
+    all_ = settle(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     n = all_.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n:
@@ -157,9 +158,9 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, params: AnnParams =
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 near = _nearest(lifted(_matrix(part.column(1))), centre, 1)[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(near), part.column(0), part.column(1)], names=["list", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(near), *part.columns], names=["list", *part.schema.names])
 
-    placed = settle(all_.mapInArrow(place, "list int, vec_id long, embedding array<double>"), "ann-lists")
+    placed = settle(all_.mapInArrow(place, "list int, vec_id long, embedding array<double>, row long"), "ann-lists")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, _ = shared.value
@@ -169,44 +170,44 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, params: AnnParams =
                 x = _matrix(part.column(1))
                 near = _nearest(np.hstack([x, np.zeros((len(x), 1))]), centre, probes)
                 rows = np.repeat(np.arange(len(x)), probes)
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))], names=["list", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), *(c.take(pa.array(rows)) for c in part.columns)], names=["list", *part.schema.names])
 
-    asked = all_.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(probe, "list int, vec_id long, embedding array<double>")
+    asked = all_.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(probe, "list int, vec_id long, embedding array<double>, row long")
     # Long lists and long queues of queries are cut into tiles; each query meets each tile of the lists that it probes.
     sizes = placed.groupBy("list").agg(F.count("*").alias("n")).toPandas().set_index("list")["n"].reindex(range(n_lists), fill_value=0)
     queries_n = int(all_.where(F.pmod("vec_id", F.lit(every)) == 0).count())
     wide = F.element_at(F.lit([max(1, int(-(-x // p.tile))) for x in sizes]), F.col("list") + 1)
     tall = max(1, -(-queries_n // p.tile))
-    spot = F.xxhash64("vec_id")
-    columns = ["list", "x", "y", "vec_id", "embedding"]
+    spot = F.xxhash64("row")
+    columns = ["list", "x", "y", "vec_id", "embedding", "row"]
     held = placed.withColumn("x", F.pmod(spot, wide)).withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(tall - 1)))).select(*columns, F.lit(False).alias("asks"))
     asks = asked.withColumn("y", F.pmod(spot, F.lit(tall)).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), wide.cast("long") - 1))).select(*columns, F.lit(True).alias("asks"))
     k, block, epsilon = p.k, p.block, p.epsilon
 
     def tile(df: pd.DataFrame) -> pd.DataFrame:
         _, turn = shared.value
-        mine, all_here = df[df["asks"]], df[~df["asks"]].sort_values("vec_id", kind="stable")
-        none = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+        mine, all_here = df[df["asks"]], df[~df["asks"]].sort_values(["vec_id", "row"])
+        none = pd.DataFrame({"query_row": np.empty(0, np.int64), "query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         if mine.empty or all_here.empty:
             return none
         plain = np.stack(all_here["embedding"].to_numpy())
-        ids = all_here["vec_id"].to_numpy()
+        ids, keys = all_here["vec_id"].to_numpy(), all_here["row"].to_numpy()
         turned = lifted(plain) @ turn
         out = []
-        asked_ids, asked_plain = mine["vec_id"].to_numpy(), np.stack(mine["embedding"].to_numpy())
+        asked_ids, asked_keys, asked_plain = mine["vec_id"].to_numpy(), mine["row"].to_numpy(), np.stack(mine["embedding"].to_numpy())
         asked_turned = np.hstack([asked_plain, np.zeros((len(mine), 1))]) @ turn
         for at in range(0, len(mine), 64):
             parts = first_block(asked_turned[at : at + 64], turned, block)
-            for q, v, t, part in zip(asked_ids[at : at + 64], asked_plain[at : at + 64], asked_turned[at : at + 64], parts, strict=True):
+            for q, key, v, t, part in zip(asked_ids[at : at + 64], asked_keys[at : at + 64], asked_plain[at : at + 64], asked_turned[at : at + 64], parts, strict=True):
                 found = scan(t, turned, part, k + 1, block, epsilon)
-                found = found[ids[found] != q]
+                found = found[keys[found] != key]
                 score = (plain[found] * v).sum(1)
                 best = np.lexsort((ids[found], -score))[:k]
-                out.append((np.full(len(best), q), ids[found][best], score[best]))
+                out.append((np.full(len(best), key), np.full(len(best), q), ids[found][best], score[best]))
         if not out:
             return none
         return pd.DataFrame({x: np.concatenate([o[i] for o in out]) for i, x in enumerate(none.columns)})
 
-    met = held.unionByName(asks).groupBy("list", "x", "y").applyInPandas(tile, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    met = held.unionByName(asks).groupBy("list", "x", "y").applyInPandas(tile, "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
