@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a table of distinct words.
 
 Texts are split into words inside Spark's tasks, each distinct word is encoded once and the
-ids are joined back by the positions of the words; ids are decoded through a join with the
-table of pieces. The table of distinct words belongs to a task and starts anew at
+ids are joined back by the positions of the words; ids are decoded by a lookup in an array of
+the pieces that each task holds, not by a join. The table of distinct words belongs to a task and starts anew at
 ``max_words`` words, so that memory is bounded: joining a table of the whole corpus back
 would shuffle a row for each word of each text, several times the size of the texts.
 """
