@@ -110,6 +110,14 @@ def hashed_words(column: pa.Array, sep: np.ndarray) -> Iterator[tuple[int, np.nd
         row = to
 
 
+def ranges_hashed(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the words from first to before last, for each of many ranges of one array."""
+    n = len(words)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(words) * _power(_ODD, n), out=total[1:])
+    return mix((total[last] - total[first]) * _power(_INVERSE, n + 1)[first])
+
+
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the runs of k words of one text, repeats included; of all its words if they are fewer, though not none."""
     if not len(words):
