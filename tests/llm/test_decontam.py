@@ -58,6 +58,26 @@ def test_case_of_letters_beyond_ascii_matters(spark):
     assert got[1] == list(range(10)) and got[2] == []
 
 
+def test_repetition_and_long_texts(spark):
+    """Texts and items that repeat themselves, of a length at which work that grows with its square would not end."""
+    import time
+
+    items = [(1, "a b " * 20), (2, "c " * 300), (3, " ".join(f"w{i}" for i in range(500)))]
+    docs = [(1, "a b " * 10_000), (2, "c " * 20_000 + "a b " * 6), (3, "x " * 30_000 + items[2][1]), (4, items[2][1] * 40)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    began = time.perf_counter()
+    got = {r[0]: tuple(r)[1:] for r in leak_report(d, i).collect()}
+    assert time.perf_counter() - began < 60 and got == brute(docs, items)
+
+
+@pytest.mark.parametrize("most", [200_000, 3])
+def test_rows_that_share_an_id_count_as_one(spark, most):
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [(7, item), (7, "z " * 30 + item), (7, None), (None, item), (None, "q"), (8, "short"), (9, item + " " + item)]
+    got = {r.doc_id: (r.n_words, r.hits, r.items) for r in find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(3, item), (3, item), (20, item), (None, "short")], "item_id long, text string"), most).collect()}
+    assert got == {7: (42, [*range(12), *range(30, 42)], ["20", "3"]), None: (12, list(range(12)), ["20", "3"]), 8: (1, [0], []), 9: (24, list(range(24)), ["20", "3"])}
+
+
 def test_empty_tables(spark):
     d, i = (spark.createDataFrame([], f"{x} long, text string") for x in ("doc_id", "item_id"))
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")

@@ -2,9 +2,10 @@
 
 Texts are hashed as runs of SHORT words; of each stretch of WINDOW - SHORT + 1 such hashes only
 the least is kept, so any span of WINDOW words that a document shares with an item also
-shares a kept hash at the same place. Kept hashes of documents and items are joined, and each
-match is extended: the item is laid along the document at that place and compared word by
-word. Items of fewer words than WINDOW are matched by hashes of their whole length.
+shares a kept hash at the same place. Kept hashes of documents and items are joined, and matches
+are extended: around the places of the hashes that match, merged where they are near, the
+document's windows are joined with those of the items, word by word. Items of fewer words than
+WINDOW are matched by hashes of their whole length.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltmesh.llm.shared import settle
+
 WINDOW = 10
 SHORT = 4
-#: Fingerprints of the items are broadcast if they are no more; with the words of the items, about 100 bytes each.
+#: Fingerprints of the items are broadcast if they are no more, and so are their windows, about 100 bytes each.
 BROADCAST_ROWS = 200_000
 _MARK = -1
 
@@ -74,33 +77,31 @@ def fingerprints(df: DataFrame, lengths: list[int]) -> tuple[DataFrame, dict[int
     return df, names
 
 
-def _extended(words: Column, item: Column, at: Column, item_at: Column, length: Column) -> Column:
-    """The places of the document's words that occurrences of the item's windows hit, with the item laid so that item_at meets at."""
-    offset = at - item_at
-    first = F.greatest(-offset, F.lit(0))
-    over = F.least(F.size(item) - first, F.size(words) - offset - first)
-    same = F.zip_with(F.slice(item, first + 1, over), F.slice(words, offset + first + 1, over), lambda a, b: a == b)
-    begins = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(same) - length + 1, F.lit(1))),
-        lambda i: (F.size(same) >= length) & F.forall(F.slice(same, i, length), lambda x: x),
-    )
-    places = F.flatten(F.transform(begins, lambda i: F.sequence(i, i + length - 1)))
-    return F.array_sort(F.array_distinct(F.transform(places, lambda i: (i + offset + first - 1).cast("int"))))
+def _flagged(runs: Column, fps: Column) -> Column:
+    """Which runs are among some fingerprints."""
+    return F.transform(runs, lambda x: F.array_contains(fps, x))
 
 
-def _marked_items(item: DataFrame, lengths: list[int]) -> DataFrame:
-    """A row for each kept hash of each item: fp, item_id, item_w, item_len, item_at and the words of the run."""
+def _item_tables(item: DataFrame, lengths: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(fp) of the kept hashes of all items, and (len, window, item_id) of their windows, each once."""
     df, names = fingerprints(item, lengths)
-    out = None
-    for n, (runs, kept) in names.items():
-        k = SHORT if n == WINDOW else n
-        spots = F.filter(F.transform(F.col(runs), lambda x, i: F.struct(x.alias("fp"), i.alias("at"))), lambda s: F.array_contains(F.col(kept), s["fp"]))
-        part = df.where(F.least(F.size("w"), F.lit(WINDOW)) == n).select("item_id", F.col("w").alias("item_w"), F.lit(n).alias("item_len"), F.explode_outer(spots).alias("s"))
-        part = part.select("item_id", "item_w", "item_len", F.col("s.fp").alias("fp"), F.slice("item_w", F.col("s.at") + 1, F.lit(k)).alias("run"), F.col("s.at").alias("item_at"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = item.where("false").select("item_id", F.col("w").alias("item_w"), F.lit(0).alias("item_len"), F.lit(0).cast("long").alias("fp"), F.col("w").alias("run"), F.lit(0).alias("item_at"))
-    return out
+    size = F.least(F.size("w"), F.lit(WINDOW))
+    kept = F.lit(None).cast("array<bigint>")
+    for n, (_, column) in names.items():
+        kept = F.when(size == n, F.col(column)).otherwise(kept)
+    cut = lambda i: F.array_join(F.slice("w", i + 1, size), " ")
+    windows = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - size), cut))
+    windows = item.select("item_id", size.alias("len"), F.explode(windows).alias("window")).distinct()
+    return df.select(F.explode(kept).alias("fp")).distinct(), windows
+
+
+def _spot(n: int):
+    """(len, at, window) of the n words at a place that is flagged, else null."""
+    return lambda flag, i: F.when(flag, F.struct(F.lit(n).alias("len"), i.alias("at"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("window")))
+
+
+def _few(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -108,47 +109,48 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
 
     A window is WINDOW consecutive words of an item, or all words of a shorter one; a document's
     word inside any occurrence of a window is hit. Null and empty texts have no words and no
-    hits, items without words match nothing. Rows of docs that share a doc_id count as one
+    hits, items without words match nothing. Rows of docs that share a doc_id, null among them, count as one
     document: n_words of the longest, hits and items of all. Repeated items count once; other
-    columns are ignored.
+    columns are ignored. Work follows the number of words also where a text or an item repeats itself.
     """
-    key = items.schema["item_id"].dataType
-    doc = docs.select(F.col("doc_id"), words_of(F.col("text")).alias("w"))
-    item = items.select(F.col("item_id"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
-    length = F.least(F.size("w"), F.lit(WINDOW))
-    lengths = sorted(r[0] for r in item.select(length.alias("n")).distinct().collect())
-    marked = _marked_items(item, lengths)
-    few = marked.limit(broadcast_rows + 1).count() <= broadcast_rows
-    found, names = fingerprints(doc, lengths)
-    # A mark that every document has carries n_words along. explode_outer, since for explode Spark
+    key = docs.schema["doc_id"].dataType
+    item = settle(items.select(F.col("item_id"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct(), "leak-items")
+    lengths = sorted(r[0] for r in item.select(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).distinct().collect())
+    known, windows = (settle(x, f"leak-{name}") for x, name in zip(_item_tables(item, lengths), ("prints", "windows"), strict=True))
+
+    # The documents' kept hashes against the items'. A mark that every document has carries n_words along. explode_outer, since for explode Spark
     # would add a filter on the array's size and compute all of the above twice.
+    found, names = fingerprints(docs.select("doc_id", words_of(F.col("text")).alias("w")), lengths)
     kept = F.array_distinct(F.concat(F.array(F.lit(_MARK)).cast("array<bigint>"), *(F.col(kept) for _, kept in names.values())))
-    found = found.select("doc_id", "w", F.explode_outer(kept).alias("fp"))
-
-    def laid(words: Column) -> Column:
-        """All places hit by windows of the item where its run stands in the document."""
-        k = F.size("run")
-        places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))), lambda i: (F.get(words, i) == F.get("run", F.lit(0))) & (F.slice(words, i + 1, k) == F.col("run")))
-        return F.array_distinct(F.flatten(F.transform(places, lambda i: _extended(words, F.col("item_w"), i, F.col("item_at"), F.col("item_len")))))
-
-    if few:
-        mark = docs.sparkSession.range(1).select(
-            F.lit(None).cast(key).alias("item_id"), F.array().cast("array<string>").alias("item_w"), F.lit(0).alias("item_len"),
-            F.lit(_MARK).cast("long").alias("fp"), F.array().cast("array<string>").alias("run"), F.lit(0).alias("item_at"),
-        )
-        hit = found.join(F.broadcast(marked.unionByName(mark)), "fp").select("doc_id", F.size("w").alias("n_words"), "item_id", F.when(F.col("item_id").isNotNull(), laid(F.col("w"))).alias("hits"))
-    else:
-        # Too many items to broadcast: the hashes alone are shuffled, and the words join the pairs that match.
-        sized = doc.select("doc_id", F.size("w").alias("n_words"), F.lit(None).cast(key).alias("item_id"), F.lit(None).cast("array<int>").alias("hits"))
-        met = found.select("doc_id", "fp").join(marked.select("fp", "item_id", "item_w", "item_len", "item_at", "run"), "fp").join(doc, "doc_id")
-        hit = sized.unionByName(met.select("doc_id", F.size("w").alias("n_words"), "item_id", laid(F.col("w")).alias("hits")))
-    # Not a filter: it would move into the join, take that out of generated code and so copy w for each fingerprint.
-    hit = hit.withColumn("item_id", F.when(F.size("hits") > 0, F.col("item_id")))
-    return hit.groupBy("doc_id").agg(
-        F.max("n_words").cast("long").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("hits"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    )
+    found = found.select("doc_id", F.size("w").alias("n_words"), F.explode_outer(kept).alias("fp"))
+    marked = known.unionByName(docs.sparkSession.range(1).select(F.lit(_MARK).cast("long").alias("fp"))).distinct()
+    if _few(known, broadcast_rows):
+        hit = found.join(F.broadcast(marked), "fp")
+    else:  # A hash that very many documents share makes a skewed partition, which adaptive execution splits; the mark is no row of the join.
+        hit = found.where(F.col("fp") != _MARK).join(known, "fp").unionByName(found.where(F.col("fp") == _MARK), allowMissingColumns=True)
+    prints = F.collect_set(F.when(F.col("fp") != _MARK, F.col("fp")))
+    marks = settle(hit.groupBy("doc_id").agg(F.max("n_words").cast("long").alias("n_words"), prints.alias("fps")), "leak-marks")
+
+    # Matches are extended: around each, the windows of the document that hold it are compared word by word with those of the items.
+    met = marks.where(F.size("fps") > 0).select(F.col("doc_id").alias("_id"), "fps")
+    near, names = fingerprints(docs.select("doc_id", "text").join(met, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "fps", words_of(F.col("text")).alias("w")), lengths)
+    spots = [F.array().cast("array<struct<len:int,at:int,window:string>>")]
+    for n, (runs, _) in names.items():
+        near, flags = _doubled(near.withColumn(f"_f{n}", _flagged(F.col(runs), F.col("fps"))), f"_f{n}", WINDOW - SHORT + 1 if n == WINDOW else 1, f"_f{n}x", lambda a, b: a | b)
+        spots.append(F.filter(F.transform(F.col(flags), _spot(n)), lambda x: x.isNotNull()))
+    near = near.select("doc_id", F.explode(F.concat(*spots)).alias("s")).groupBy("doc_id", "s.len", "s.window").agg(F.collect_set("s.at").alias("at"))
+    every = windows.select("len", "window").distinct()
+    same = settle(near.join(F.broadcast(every) if _few(every, broadcast_rows) else every, ["len", "window"]), "leak-hits")
+    # Places of one document, and ids of the items that one document meets: as long as its row of the result.
+    places = F.flatten(F.collect_list(F.transform("at", lambda i: F.struct(i.alias("at"), F.col("len").alias("len")))))
+    words = F.array_sort(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["at"], p["at"] + p["len"] - 1)))))
+    hits = same.groupBy(F.col("doc_id").alias("_id")).agg(places.alias("places")).select("_id", words.alias("hits"))
+    of = same.select(F.col("doc_id").alias("_id"), "len", "window").join(windows, ["len", "window"]).groupBy("_id").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    out = marks.select("doc_id", "n_words")
+    for part in (hits, of):
+        part = part.withColumn("_id", F.col("_id").cast(key))
+        out = out.join(part, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return out.select("doc_id", "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def leak_report(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
