@@ -10,7 +10,7 @@ import pytest
 from voltmesh.llm.bpe import WordTable, encode_documents
 from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report
 from voltmesh.llm.queries import vocabulary
-from voltmesh.llm.shards import assign_shards, least_loaded
+from voltmesh.llm.shards import assign_shards, scheduled
 
 ODD = ["", "a<|endoftext|>b C'S don't", "İSTANBUL Σας ΣΑΣ", "é café ﬁ ½ ² x²³ 123", "日本語 テスト 🙂🙂 x", "\x1c a\x1f b\x85c\xa0d", "<|startoftext|><|endoftext|>", "à̖", "—dash’s €5"]
 
@@ -82,8 +82,32 @@ def test_shards_keep_groups_and_balance(spark):
     assert assign_shards(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-@pytest.mark.parametrize("n", [1, 3])
-def test_longest_first_to_least_loaded(n):
-    sizes = np.array([5, 9, 9, 1, 4])
-    load = np.bincount(least_loaded(sizes, n), sizes, minlength=n)
-    assert load.max() <= 4 / 3 * max(sizes.sum() / n, 9)
+def plain_schedule(sizes, n_shards):
+    """Longest first, each to the least load, then the lowest shard."""
+    load = [0] * n_shards
+    for x in sorted(sizes, reverse=True):
+        s = load.index(min(load))
+        load[s] += x
+    return load
+
+
+@pytest.mark.parametrize("n_shards", [1, 3, 7])
+def test_classes_are_scheduled_as_their_groups_would_be(n_shards):
+    rng = random.Random(n_shards)
+    for _ in range(60):
+        sizes = [rng.choice([1, 2, 3, 5, 16, 17, 40, 400]) for _ in range(rng.randint(0, 90))]
+        kinds, counts = np.unique(np.array(sizes, np.int64), return_counts=True)
+        load, ends = scheduled(kinds, counts, n_shards)
+        assert load.tolist() == plain_schedule(sizes, n_shards)
+        assert all(ends[:, -1] == counts) and (np.diff(ends, axis=1, prepend=0).T @ kinds).tolist() == load.tolist()
+
+
+def test_loads_of_documents_are_those_of_plain_scheduling(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    out = assign_shards(docs, 40).collect()
+    group, load = {}, {}
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in out:
+        group[text[r.doc_id]] = group.get(text[r.doc_id], 0) + r.size
+        load[r.shard] = load.get(r.shard, 0) + r.size
+    assert sorted(load.values()) == sorted(plain_schedule(group.values(), 40)) and len(out) == len(text)
