@@ -23,12 +23,10 @@ class LangParams:
     """max_docs: bound, for each language, on the documents whose n-grams are counted for its profile.
 
     top: length of the profiles and of a text's list.
-    min_score: the pipeline's stage lets a document go whose score is lower.
     """
 
     max_docs: int = 1500
     top: int = 400
-    min_score: float = 0.02
 
 
 _PIECE = 1 << 20
@@ -49,18 +47,24 @@ def _classes() -> np.ndarray:
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text as 63-bit codes, and their counts; runs of other characters are one word edge.
 
-    Very long texts are counted in pieces of a million characters that meet at no edge, so
-    memory follows the number of distinct n-grams.
+    Very long texts are counted in pieces of about a million characters that end at word edges, so that counts
+    are those of the whole text and memory follows the number of distinct n-grams; a single word is never cut.
     """
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for at in range(0, len(text), _PIECE):
-        k, c = _piece_counts(text[at : at + _PIECE])
-        if len(keys):
+    at = 0
+    while at < len(text):
+        to = min(len(text), at + _PIECE)
+        while to < len(text) and text[to].isalpha():
+            to += 1
+        k, c = _piece_counts(text[at:to])
+        if len(keys) and len(k):
+            # The edge between two pieces with letters is one of the whole text: no n-gram spans it but the word's own.
             both = np.concatenate([keys, k])
             keys, where = np.unique(both, return_inverse=True)
             counts = np.bincount(where, np.concatenate([counts, c])).astype(np.int64)
-        else:
+        elif len(k):
             keys, counts = k, c
+        at = to
     return keys, counts
 
 

@@ -7,7 +7,7 @@ share of the documents, then on all; each time from the same weights, and their
 A part of the tokens, drawn anew in each run, is masked for training; all others stand around them. The
 output is factored into classes of words and words within a class, so that a token costs two
 short softmaxes. Words beyond the network's ids share its id 0, and each has its share of it
-by its count over all documents: no two words of the corpus are one.
+by its count over all documents; the rarest, beyond a table that tasks hold, by their mean count.
 
 What the corpus repeats corrects the network: texts are cut into segments of a few words at
 places that the words themselves choose, segments are counted, with the words on both their
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ class LmParams:
 
     early: one in so many texts, by their hash, gives the starting weights; all texts train them then.
     masked: share of the tokens of a text that training predicts in one run, at least least of them.
-    step: tokens to a step, or fewer where a run of texts has few. table bounds the words whose counts,
-    and the segments whose counts, each task holds; those of all others are joined.
+    step: tokens to a step, or fewer where a run of texts has few. table bounds the words whose counts each task
+    holds, hot the segments, the most frequent ones; all others are joined.
     cut: words to a segment on average, a power of two. repeats: the mixture's weight of repeated segments.
     """
 
@@ -49,7 +50,8 @@ class LmParams:
     step: int = 8192
     least: int = 256
     table: int = 500_000
-    cut: int = 8
+    hot: int = 20_000
+    cut: int = 16
     repeats: float = 0.1
     rate: float = 0.15
     seed: int = 5
@@ -119,13 +121,16 @@ class Vocabulary:
     """Ids of the most frequent words by rank from 1; 0 stands for every other word, which has its count's share of it.
 
     words and counts go by rank, and those beyond size - 1 are held only for their counts; total and
-    distinct are the numbers of words and of different ones in the corpus. One more word stands for all unseen ones.
+    distinct are the numbers of words and of different ones in the corpus. Words that are not held, and one more for
+    all that the corpus lacks, share alike what is left.
     """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, size: int):
         self.more = Held(words[size - 1 :], counts[size - 1 :])
+        left, kinds = total - counts.sum(), distinct - len(words)
         words, counts = words[: size - 1], counts[: size - 1]
-        self.unseen = -np.log(total - counts.sum() + distinct - len(words) + 1.0)
+        self.whole = np.log(total - counts.sum() + distinct - len(words) + 1.0)
+        self.rest = np.log((left + kinds + 1.0) / (kinds + 1.0))
         self.known = Held(words, np.arange(1, len(words) + 1))
         self.counts = np.ones(size)
         self.counts[1 : len(counts) + 1] += counts
@@ -134,10 +139,10 @@ class Vocabulary:
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return self.known.of(hashes.view(np.int64)).astype(np.int32)
 
-    def shares(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log of the share of id 0 of each word beyond the ids, and which of them are not held: these count as unseen here."""
+    def shares(self, hashes: np.ndarray) -> np.ndarray:
+        """Log of the share of id 0 of each word beyond the ids."""
         n = self.more.of(hashes.view(np.int64))
-        return self.unseen + np.log1p(n), n == 0
+        return np.where(n > 0, np.log1p(n), self.rest) - self.whole
 
 
 #: The network's weights, and for each the sums of squared gradients that its steps are scaled by.
@@ -164,12 +169,11 @@ class WindowNetwork:
         #: Places of a token's neighbours.
         self.around = [*range(-p.reach, 0), *range(1, p.reach + 1)]
         self.hot = Held(np.empty(0, np.int64), np.empty(0, np.int64))
-        #: (word, n) of the words, and of the repeated segments, that are not held, or None if all are.
-        self.rest: DataFrame | None = None
+        #: (word, n) of the repeated segments that are not held.
         self.repeated: DataFrame | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"rest": None, "repeated": None}
+        return self.__dict__ | {"repeated": None}
 
     def rows(self, values: dict[str, np.ndarray], name: str) -> np.ndarray:
         """Weights or squares as rows that are averaged by themselves: one for each context word, class, or all of them."""
@@ -256,7 +260,8 @@ class WindowNetwork:
             self._step("embed", np.add.reduceat(h[by_id], first, axis=0), (j, near[first]))
 
 
-_SLICE = 128
+#: Rows of weights, and tasks, that are summed together.
+_SLICE, _GROUP = 128, 64
 
 
 def _train(docs: DataFrame, network: WindowNetwork, turn: int) -> None:
@@ -280,29 +285,32 @@ def _train(docs: DataFrame, network: WindowNetwork, turn: int) -> None:
                     used["embed"][j] += np.bincount(padded[chosen + by], minlength=p.size + 1)
         used["embed"], used["word_bias"] = used["embed"].ravel(), used["to_word"]
         used["to_class"] = used["class_bias"] = used["to_word"].sum(keepdims=True)
+        group = TaskContext.get().partitionId() // _GROUP
         for what in ("weights", "squares"):
             for name in WEIGHTS:
                 n = used[name]
                 change = (net.rows(getattr(net, what), name) - shared.value.rows(getattr(shared.value, what), name)) * n[:, None]
                 at = [i for i in range(0, len(n), _SLICE) if n[i : i + _SLICE].any()]
-                columns = [pa.array([what] * len(at), pa.string()), pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array([n[i : i + _SLICE].tobytes() for i in at], pa.binary()), pa.array([change[i : i + _SLICE].astype(np.float32).tobytes() for i in at], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["what", "name", "at", "n", "change"])
+                columns = [pa.array([what] * len(at), pa.string()), pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array([group] * len(at), pa.int32()), pa.array([n[i : i + _SLICE].tobytes() for i in at], pa.binary()), pa.array([change[i : i + _SLICE].astype(np.float32).tobytes() for i in at], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["what", "name", "at", "group", "n", "change"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
-            for *key, n, change in zip(*(batch.column(i) for i in range(5)), strict=True):
-                here = np.frombuffer(n.as_buffer(), np.float64), np.frombuffer(change.as_buffer(), np.float32).astype(np.float64)
+            for *key, n, change in zip(*(batch.column(i) for i in range(6)), strict=True):
+                here = np.frombuffer(n.as_buffer(), np.float64), np.frombuffer(change.as_buffer(), np.float32)
                 have = sums.get(key := tuple(x.as_py() for x in key))
                 sums[key] = [x + y for x, y in zip(have, here, strict=True)] if have else list(here)
-        for (what, name, at), (n, change) in sums.items():
-            mean = change.reshape(len(n), -1) / np.maximum(n, 1)[:, None]
-            yield pa.RecordBatch.from_arrays([pa.array([what]), pa.array([name]), pa.array([at], pa.int32()), pa.array([mean.tobytes()])], names=["what", "name", "at", "mean"])
+        for (what, name, at, _), (n, change) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([what]), pa.array([name]), pa.array([at], pa.int32()), pa.array([0], pa.int32()), pa.array([n.tobytes()]), pa.array([change.tobytes()])], names=["what", "name", "at", "group", "n", "change"])
 
-    parts = docs.select("text").mapInArrow(run, "what string, name string, at int, n binary, change binary").repartition("what", "name", "at")
-    for what, name, at, mean in zip(*parts.mapInArrow(add, "what string, name string, at int, mean binary").toArrow().columns, strict=True):
-        rows = network.rows(getattr(network, what.as_py()), name.as_py())[at.as_py() : at.as_py() + _SLICE]
-        rows += np.frombuffer(mean.as_buffer(), np.float64).reshape(len(rows), -1).astype(np.float32)
+    # Sums of neighbouring tasks first, then of all, so that no task reads a row of each task of the corpus.
+    schema, key = "what string, name string, at int, group int, n binary, change binary", ("what", "name", "at", "group")
+    parts = docs.select("text").mapInArrow(run, schema).repartition(*key).mapInArrow(add, schema)
+    parts = parts.withColumn("group", F.lit(0)).repartition(*key).mapInArrow(add, schema)
+    for what, name, at, _, n, change in zip(*parts.toArrow().columns, strict=True):
+        rows, n = network.rows(getattr(network, what.as_py()), name.as_py())[at.as_py() : at.as_py() + _SLICE], np.frombuffer(n.as_buffer(), np.float64)
+        rows += (np.frombuffer(change.as_buffer(), np.float32).reshape(len(n), -1) / np.maximum(n, 1)[:, None]).astype(np.float32)
 
 
 def _frequent(counts: DataFrame, most: int) -> tuple[int, int, int]:
@@ -321,11 +329,11 @@ def fit_network(docs: DataFrame, params: LmParams = LmParams()) -> WindowNetwork
     least, total, distinct = _frequent(words, p.table)
     best = words.where(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
     network = WindowNetwork(Vocabulary(best["word"].to_numpy(np.int64), best["n"].to_numpy(np.int64), total, distinct, p.size), p)
-    network.rest = words.where(F.col("n") < least) if len(best) < distinct else None
-    least, _, n_repeated = _frequent(repeated, p.table)
+    # Frequent segments stay out of the join, so that none of its keys is hot.
+    least, _, _ = _frequent(repeated, p.hot)
     hot = repeated.where(F.col("n") >= least).toPandas()
     network.hot = Held(hot["word"].to_numpy(np.int64), hot["n"].to_numpy(np.int64))
-    network.repeated = repeated.where(F.col("n") < least) if len(hot) < n_repeated else None
+    network.repeated = repeated.where(F.col("n") < least)
     _train(docs.where(F.pmod(F.xxhash64("text"), F.lit(p.early)) == 0), network, 0)
     _train(docs, network, 1)
     return network
@@ -339,14 +347,13 @@ def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
     tokens, sum 0 and a null mean. Other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    words_join, segments_join = network.rest is not None, network.repeated is not None
     alone, odds = np.log1p(-network.p.repeats), np.log(network.p.repeats / (1 - network.p.repeats))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
-            n, unknown, total, far, cut = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.float64, np.int64, np.int64))
-            rest, keys, fits, lengths = ([np.empty(0, t)] for t in (np.int64, np.int64, np.float32, np.int32))
+            n, unknown, total, cut = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.float64, np.int64))
+            keys, fits, lengths = ([np.empty(0, t)] for t in (np.int64, np.float32, np.int32))
             for row, words, offsets in hashed_words(batch.column(1), NOT_ALNUM):
                 tokens = net.vocabulary.of(words)
                 rows = slice(row, row + len(offsets) - 1)
@@ -354,8 +361,7 @@ def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
                 padded, places = net.laid(tokens, offsets)
                 gains = np.concatenate([np.empty(0), *(net.log_probability(padded, places[at : at + (1 << 14)]) for at in range(0, len(places), 1 << 14))])
                 where = np.flatnonzero(tokens == 0)
-                shares, gone = net.vocabulary.shares(words[where])
-                gains[where] += shares
+                gains[where] += net.vocabulary.shares(words[where])
                 starts, found = segments(words, offsets, net.p)
                 size = np.diff(np.append(starts, len(words)))
                 fit = np.add.reduceat(gains, starts) if len(starts) else np.empty(0)
@@ -366,32 +372,22 @@ def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
                 at = np.searchsorted(starts, offsets)
                 total[rows] = sums[at[1:]] - sums[at[:-1]]
                 unknown[rows] = unk[offsets[1:]] - unk[offsets[:-1]]
-                if words_join:
-                    far[rows] = np.diff(np.searchsorted(where[gone], offsets))
-                    rest.append(words[where[gone]].view(np.int64))
-                if segments_join:
-                    left = np.flatnonzero(seen == 0)
-                    cut[rows] = np.diff(np.searchsorted(starts[left], offsets))
-                    keys.append(found[left])
-                    fits.append(fit[left].astype(np.float32))
-                    lengths.append(size[left].astype(np.int32))
-            lists = lambda sizes, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+                left = np.flatnonzero(seen == 0)
+                cut[rows] = np.diff(np.searchsorted(starts[left], offsets))
+                keys.append(found[left])
+                fits.append(fit[left].astype(np.float32))
+                lengths.append(size[left].astype(np.int32))
             parts = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in (keys, fits, lengths)], names=["key", "fit", "size"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(unknown), pa.array(total), lists(far, pa.array(np.concatenate(rest))), lists(cut, parts)], names=["doc_id", "n_tokens", "n_unknown", "log_likelihood", "rest", "segments"])
-
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_unknown long, log_likelihood double, rest array<long>, segments array<struct<key:long,fit:float,size:int>>")
-    if words_join or segments_join:
-        out = settle(out.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-        more = []
-        if words_join:
-            more.append(out.select("row", F.explode("rest").alias("word")).join(network.rest, "word").select("row", F.log1p("n").alias("gain")))
-        if segments_join:
-            parts = out.select("row", F.explode("segments").alias("s")).select("row", F.col("s.key").alias("word"), F.col("s.fit").cast("double").alias("fit"), F.col("s.size").alias("size"))
-            x = F.lit(float(odds)) + F.col("size") * F.log((F.col("n") - 1) / F.col("n")) - F.col("fit")
-            more.append(parts.join(network.repeated, "word").select("row", (F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))).alias("gain")))
-        # Whole numbers, so that the sum does not depend on the order of rows.
-        whole = F.round(F.col("gain") * F.lit(float(_ONE))).cast("long")
-        gains = (more[0] if len(more) == 1 else more[0].unionByName(more[1])).groupBy("row").agg(F.sum(whole).alias("more"))
-        out = out.drop("rest", "segments").join(gains, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("more") / F.lit(float(_ONE)), F.lit(0.0)))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(cut)]).astype(np.int32)), parts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(unknown), pa.array(total), lists], names=["doc_id", "n_tokens", "n_unknown", "log_likelihood", "segments"])
+
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_unknown long, log_likelihood double, segments array<struct<key:long,fit:float,size:int>>")
+    out = settle(out.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    parts = out.select("row", F.explode("segments").alias("s")).select("row", F.col("s.key").alias("word"), F.col("s.fit").cast("double").alias("fit"), F.col("s.size").alias("size"))
+    x = F.lit(float(odds)) + F.col("size") * F.log((F.col("n") - 1) / F.col("n")) - F.col("fit")
+    gain = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
+    # Whole numbers, so that the sum does not depend on the order of rows.
+    more = parts.join(network.repeated, "word").groupBy("row").agg(F.sum(F.round(gain * F.lit(float(_ONE))).cast("long")).alias("more"))
+    out = out.drop("segments").join(more, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("more") / F.lit(float(_ONE)), F.lit(0.0)))
     out = out.select("doc_id", "n_tokens", "n_unknown", "log_likelihood")
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
