@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from voltmesh.llm.bpe import WordTable, encode_documents
+from voltmesh.llm.bpe import Words, decoded, encode_documents
 from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report
 from voltmesh.llm.queries import vocabulary
 from voltmesh.llm.shards import assign_shards, scheduled
@@ -15,7 +15,8 @@ from voltmesh.llm.shards import assign_shards, scheduled
 ODD = ["", "a<|endoftext|>b C'S don't", "İSTANBUL Σας ΣΑΣ", "é café ﬁ ½ ² x²³ 123", "日本語 テスト 🙂🙂 x", "\x1c a\x1f b\x85c\xa0d", "<|startoftext|><|endoftext|>", "à̖", "—dash’s €5"]
 
 
-def test_words_encode_as_the_library_does(spark):
+@pytest.mark.parametrize("block_chars", [8_000_000, 200])
+def test_words_encode_as_the_library_does(spark, block_chars):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(vocabulary())
@@ -23,20 +24,26 @@ def test_words_encode_as_the_library_does(spark):
     pool = "aZ '́İſtsRE9½<|>\n\x1cé ñ中🙂’" + "".join(map(chr, range(0x80, 0x180)))
     texts = ODD + ["".join(rng.choice(pool) for _ in range(30)) for _ in range(300)] + ["word " * 50_000, None]
     rows = [(i, t, "clash") for i, t in enumerate(texts)] + [(0, "", "again")]
-    got = encode_documents(spark.createDataFrame(rows, "doc_id long, text string, n_tokens string"), vocabulary(), with_ids=True, max_words=50).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    got = encode_documents(df, vocabulary(), with_ids=True, block_chars=block_chars)
+    back = {r.doc_id: r.text for r in decoded(got.dropDuplicates(["doc_id"]), vocabulary(), "doc_id").collect()}
+    got = got.collect()
     assert len(got) == len(rows)
     for r in got:
         ids = whole.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert r.ids == ids and r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(whole.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        assert back[r.doc_id] == whole.decode(ids, skip_special_tokens=False)
 
 
-def test_table_starts_anew_at_its_bound():
-    table = WordTable(vocabulary(), max_words=10)
-    for i in range(30):
-        table.encode(f"word{i} other{i}")
-        assert len(table.table) <= 10
+def test_empty_tables_and_other_vocabularies(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert encode_documents(none, vocabulary()).collect() == []
+    with pytest.raises(ValueError):
+        encode_documents(none, vocabulary("byte_bpe_50k.json"))
+    with pytest.raises(ValueError):
+        Words(vocabulary("byte_bpe_50k.json"))
 
 
 def test_licences_and_changed_wordings(spark):

@@ -1,16 +1,18 @@
-"""BPE encoding and decoding with a table of distinct words.
+"""BPE encoding and decoding through a table of distinct words.
 
-Texts are split into words inside Spark's tasks, each distinct word is encoded once and the
-ids are joined back by the positions of the words; ids are decoded by a lookup in an array of
-the pieces that each task holds, not by a join. The table of distinct words belongs to a task and starts anew at
-``max_words`` words, so that memory is bounded: joining a table of the whole corpus back
-would shuffle a row for each word of each text, several times the size of the texts.
+Tasks split texts into words and pack them into blocks: a list of a block's distinct words, and
+for each word of its texts the place in that list. The distinct words of all blocks make one
+table, in which each is encoded once; its ids are joined with the vocabulary's table of pieces,
+which decodes them. Ids and pieces are then joined back to the lists of the blocks, where the places turn
+them into documents. Words that occur in many blocks are few and travel by broadcast,
+so that no key of that join is hot.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 import unicodedata
@@ -18,13 +20,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_WORDS = 400_000
+from voltmesh.llm.shared import settle
 
-#: The words that this family of vocabularies splits off before its merges.
+#: Characters of a block's texts from which it ends; one longer text is a block of its own.
+BLOCK_CHARS = 8_000_000
+#: A word in more than one block of COMMON is broadcast: at most COMMON times the distinct words of a block.
+COMMON = 8
+#: A vocabulary with more pieces than this is not broadcast.
+BROADCAST_PIECES = 2_000_000
+
+#: How this family of vocabularies prepares and splits texts before its merges.
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": ENDINGS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 
 #: Characters whose normal form, case and class are the same in every version of Unicode in use;
 #: dotted capital I is left out, since its lower case is two characters.
@@ -43,22 +59,24 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
     return re.compile(f"[^{_PLAIN}]"), re.compile(f"{ENDINGS}|[{letter}]+|[{number}]|[^{white}{letter}{number}]+")
 
 
-class WordTable:
-    """Ids of distinct words, found once each; splits texts as the vocabulary file says."""
+class Words:
+    """Splits texts as a vocabulary file says, and encodes words. Files that split otherwise are refused."""
 
-    def __init__(self, vocabulary: str, max_words: int = MAX_WORDS):
+    def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        with open(vocabulary, encoding="utf-8") as f:
+            rules = json.load(f)
+        if (rules["normalizer"] or {}).get("normalizers") != NORMALIZERS or (rules["pre_tokenizer"] or {}).get("pretokenizers") != PRE_TOKENIZERS or rules["decoder"]:
+            raise ValueError(f"{vocabulary} splits or decodes texts otherwise than by words")
+        if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in rules["added_tokens"]):
+            raise ValueError(f"{vocabulary} has added tokens that are not matched as they stand")
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.max_words, self.table = max_words, {}
-        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.special = {content: np.array([i], "<u4").tobytes() for content, i in added.items()}
-        self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = np.array([self.tokenizer.id_to_token(i) or "" for i in range(size)], dtype=object)
+        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
     def split(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
@@ -68,7 +86,7 @@ class WordTable:
         text = self.tokenizer.normalizer.normalize_str(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def words(self, text: str) -> list[str]:
+    def of(self, text: str) -> list[str]:
         """All words of a text in order; strings of special tokens stay whole."""
         if self.cut is None or not self.cut.search(text):
             return self.split(text)
@@ -80,52 +98,161 @@ class WordTable:
                 out += self.split(part)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Adds the ids of those words that the table lacks."""
-        missing = [w for w in words if w not in self.table]
-        if len(self.table) + len(missing) > self.max_words:
-            self.table, missing = {}, list(words)
-        for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            self.table[w] = self.special.get(w) or np.array(e.ids, "<u4").tobytes()
+    def ids(self, words: list[str]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return [[self.special[w]] if w in self.special else e.ids for w, e in zip(words, found, strict=True)]
+
+
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed, max_output_size=4 * n), np.uint8).reshape(4, n).T.copy().view("<u4").ravel()
+
+
+def word_blocks(docs: DataFrame, vocabulary: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(block, ids, sizes, places, words): the ids and numbers of words of a block's documents, the packed places of all its words in the list of its distinct ones, and that list.
+
+    docs has the two columns id and text.
+    """
+    kind = docs.schema[0].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, nth = Words(vocabulary), 0
+
+        def started() -> tuple:
+            return [], [], [], {}
+
+        ids, sizes, places, words = started()
+        chars = 0
+
+        def block() -> pa.RecordBatch:
+            key = (TaskContext.get().partitionId() << 33) + nth
+            flat = np.concatenate(places) if places else np.empty(0, np.int32)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key], pa.int64()), _listed(pa.concat_arrays(ids)), _listed(pa.array(sizes, pa.int32())), pa.array([_packed(flat)], pa.binary()), _listed(pa.array(list(words), pa.string()))],
+                names=["block", "ids", "sizes", "places", "words"],
+            )
+
+        for batch in batches:
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py() or ""
+                found = splitter.of(text)
+                places.append(np.fromiter((words.setdefault(w, len(words)) for w in found), np.int32, len(found)))
+                sizes.append(len(found))
+                ids.append(batch.column(0).slice(i, 1))
+                chars += len(text)
+                if chars >= block_chars:
+                    yield block()
+                    (ids, sizes, places, words), chars, nth = started(), 0, nth + 1
+        if ids:
+            yield block()
+
+    return docs.mapInArrow(run, f"block long, ids array<{kind.simpleString()}>, sizes array<int>, places binary, words array<string>")
+
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = self.words(text)
-        self.learn(set(words))
-        return b"".join(map(self.table.__getitem__, words))
+def _listed(values: pa.Array) -> pa.Array:
+    """One list of all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    def decode(self, ids: bytes) -> str:
-        """The pieces of the ids with a space between, as the vocabulary has no decoder of its own."""
-        return " ".join(self.pieces[np.frombuffer(ids, "<u4")].tolist())
 
+def encoded_words(words: DataFrame, vocabulary: str) -> DataFrame:
+    """Adds ids, an array, to a table with a column word."""
+    rest = [x for x in words.columns if x != "word"]
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, max_words: int = MAX_WORDS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(vocabulary)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(x) for x in ["word", *rest]] + [pa.array(known.ids(batch.column("word").to_pylist()), pa.list_(pa.int32()))], names=["word", *rest, "ids"])
+
+    return words.select("word", *rest).mapInArrow(run, ", ".join(f"{x} {words.schema[x].dataType.simpleString()}" for x in ["word", *rest]) + ", ids array<int>")
+
+
+def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
+    """(id, piece) of a vocabulary."""
+    tokenizer = Words(vocabulary).tokenizer
+    found = [(i, x) for i in range(tokenizer.get_vocab_size(with_added_tokens=True)) if (x := tokenizer.id_to_token(i)) is not None]
+    return spark.createDataFrame(found, "id int, piece string")
+
+
+def decoded(table: DataFrame, vocabulary: str, key: str, ids: str = "ids") -> DataFrame:
+    """Adds text to a table with unique keys and arrays of ids: the pieces of the ids with a space between, as the vocabulary has no decoder of its own.
+
+    Each distinct id of a row is joined with the table of pieces; null arrays and those without a known id give empty texts.
+    """
+    known = pieces(table.sparkSession, vocabulary)
+    if known.count() <= BROADCAST_PIECES:
+        known = F.broadcast(known)
+    met = table.select(key, F.explode(F.array_distinct(ids)).alias("id")).join(known, "id")
+    found = met.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("id", "piece"))).alias("_known"))
+    text = F.array_join(F.transform(ids, lambda i: F.element_at("_known", i)), " ")
+    return table.join(found, key, "left").withColumn("text", F.coalesce(F.when(F.col("_known").isNotNull(), text), F.lit(""))).drop("_known")
+
+
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, block_chars: int = BLOCK_CHARS, common: int = COMMON) -> DataFrame:
     """Each row of docs to (id_col, n_tokens, ids_sha256, decoded_sha256[, ids]).
 
     One row for each input row, repeats included; a null text counts as empty and has no
-    ids; texts are taken whole. Other columns are ignored, whatever their names. vocabulary
+    ids; texts are taken whole, also very long ones. An empty table gives no rows. Other columns are ignored, whatever their names. vocabulary
     is the path of a tokenizers file that every executor can read.
     """
-    kind = docs.schema[id_col].dataType
-    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    tail = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * with_ids
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    Words(vocabulary)
+    blocks = settle(word_blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), vocabulary, block_chars), "bpe-blocks")
+    n_blocks = blocks.count()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(vocabulary, max_words)
+    # Each distinct word once, encoded, and decoded through the pieces of its ids.
+    counted = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks"))
+    words = settle(decoded(settle(encoded_words(counted, vocabulary), "bpe-ids"), vocabulary, "word"), "bpe-words")
+    often = words.where(F.col("blocks") * common > max(n_blocks, common)).select("word", "ids", "text").toArrow()
+    shared = spark.sparkContext.broadcast({w: (np.array(i, "<u4").tobytes(), t) for w, i, t in zip(*(often.column(x).to_pylist() for x in ("word", "ids", "text")), strict=True)})
+
+    # Others are joined by word, then gathered by block: as many as the block has distinct words.
+    def scarce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, max(1, batch.num_rows), 256):
-                part = batch.slice(at, 256)
-                n, sha, back, all_ids = [], [], [], []
-                for text in part.column(1):
-                    ids = table.encode(text.as_py() or "")
-                    n.append(len(ids) // 4)
-                    sha.append(hashlib.sha256(ids).hexdigest())
-                    back.append(hashlib.sha256(table.decode(ids).encode()).hexdigest())
-                    if with_ids:
-                        all_ids.append(np.frombuffer(ids, "<i4"))
-                arrays = [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
-                if with_ids:
-                    arrays.append(pa.array(all_ids, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=[id_col, *(x for x, _ in tail)])
-
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, {fields}")
+            for block, listed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                at = [(i, w) for i, w in enumerate(listed.as_py()) if w not in shared.value]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(at), pa.int64()), pa.array([i for i, _ in at], pa.int32()), pa.array([w for _, w in at], pa.string())], names=["block", "at", "word"])
+
+    found = blocks.select("block", "words").mapInArrow(scarce, "block long, at int, word string").join(words.select("word", "ids", "text"), "word")
+    n = max(1, min(n_blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 16)))
+    found = found.select("block", F.struct("at", "ids", "text").alias("w")).repartition(n, "block").groupBy("block").agg(F.collect_list("w").alias("found"))
+    whole = blocks.repartition(n, "block").join(found, "block", "left")
+
+    tail = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("tokens", pa.list_(pa.int32()))] * with_ids
+
+    def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1)
+                listed = row.column("words").flatten().to_pylist()
+                ids, texts = [b""] * len(listed), [""] * len(listed)
+                got = row.column("found").flatten()
+                at, lists = got.field("at").to_numpy(zero_copy_only=False), got.field("ids")
+                ends, flat = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int32), lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+                for k, (i, a, b, t) in enumerate(zip(at.tolist(), ends[:-1].tolist(), ends[1:].tolist(), got.field("text").to_pylist(), strict=True)):
+                    ids[i], texts[i] = flat[4 * a : 4 * b], t
+                for i, w in enumerate(listed):
+                    if (known := shared.value.get(w)) is not None:
+                        ids[i], texts[i] = known
+                sizes = row.column("sizes").flatten().to_numpy()
+                places = _unpacked(row.column("places")[0].as_py(), int(sizes.sum())).tolist()
+                names, end = row.column("ids").flatten(), 0
+                for lo in range(0, len(sizes), 256):
+                    n_tokens, sha, back, tokens = [], [], [], []
+                    for size in sizes[lo : lo + 256].tolist():
+                        mine = places[end : end + size]
+                        end += size
+                        raw = b"".join([ids[i] for i in mine])
+                        n_tokens.append(len(raw) // 4)
+                        sha.append(hashlib.sha256(raw).hexdigest())
+                        back.append(hashlib.sha256(" ".join([t for i in mine if (t := texts[i])]).encode()).hexdigest())
+                        if with_ids:
+                            tokens.append(np.frombuffer(raw, "<i4"))
+                    columns = [n_tokens, sha, back, tokens] if with_ids else [n_tokens, sha, back]
+                    yield pa.RecordBatch.from_arrays([names.slice(lo, 256), *(pa.array(x, t) for x, (_, t) in zip(columns, tail, strict=True))], names=["id", *(x for x, _ in tail)])
+
+    out = whole.mapInArrow(assembled, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", tokens array<int>" * with_ids)
+    return out.select(F.col("id").alias(id_col), "n_tokens", "ids_sha256", "decoded_sha256", *([F.col("tokens").alias("ids")] if with_ids else []))
