@@ -62,7 +62,7 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([r.predicted for r, q in held if q == 1]) > 0.95
 
 
-def test_language_model_counts_and_prefers_real_text(spark, docs):
+def test_language_model_counts_all_words(spark, docs):
     from voltmesh.llm.lmscore import fit_network, score_documents, word_counts
 
     table = spark.read.parquet(f"{SMALL}/documents.parquet")

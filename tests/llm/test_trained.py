@@ -233,8 +233,51 @@ def test_words_are_the_same_in_any_run():
         assert whole[0] == whole[4][:2] and len(whole[4]) == 3 * (RUN_BYTES // 5)
 
 
-def test_repetition_adds_features():
+def test_features_are_runs_and_those_that_repeat():
     import pyarrow as pa
 
-    plain, same = (next(iter(hashed_words(pa.array([t]), SPACES)))[1] for t in ("a b c d", "a a a a"))
-    assert features(plain, 18).max() < 1 << 18 and features(same, 18).max() >= 1 << 18
+    one = lambda t, bits=40: set(features(next(iter(hashed_words(pa.array([t]), SPACES)))[1], bits).tolist())
+    assert len(one("a b c d")) == 4 + 3 + 2 and len(one("a a a a")) == 3 + 1 + 1 + 1 + 1
+    assert one("a b") < one("a b c") and one("") == {(1 << 40) - 1}
+    long = " ".join(f"w{i}" for i in range(20_000))
+    assert len(one(long)) == 3 * 20_000 - 3
+
+
+def test_quality_against_plain_updates(spark):
+    """Weights in dicts, one feature after the other, over all features of texts of any length."""
+    import math
+    import random
+
+    import pyarrow as pa
+
+    from voltmesh.llm.quality import QualityParams, fit_ftrl
+
+    rng, p = random.Random(4), QualityParams(bits=16)
+    texts = [(i, " ".join(rng.choice("abcdefgh" if i % 3 else "efghijkl") + rng.choice("xyz") for _ in range(rng.choice([1, 5, 40, 6000 if i < 6 else 60])))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in texts], "doc_id long, quality int")
+    rows = {i: features(next(iter(hashed_words(pa.array([t]), SPACES)))[1], p.bits).tolist() for i, t in texts}
+    known = sorted(i for i in rows if zlib.crc32(str(i).encode()) % 5)
+    z, n, w, bias = {}, {}, {}, [0.0, 0.0, 0.0]
+    order = np.random.default_rng(7)
+    for _ in range(p.epochs):
+        for at in order.permutation(len(known)):
+            f, y = rows[known[at]], float(known[at] % 3 > 0)
+            x = 1 / math.sqrt(len(f))
+            error = 1 / (1 + math.exp(-(sum(w.get(k, 0.0) for k in f) * x + bias[2]))) - y
+            g = error * x
+            for k in f:
+                new = n.get(k, 0.0) + g * g
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(new) - math.sqrt(n.get(k, 0.0))) / p.alpha * w.get(k, 0.0)
+                n[k] = new
+                w[k] = 0.0 if abs(z[k]) <= p.l1 else -(z[k] - math.copysign(p.l1, z[k])) / ((p.beta + math.sqrt(new)) / p.alpha + p.l2)
+            new = bias[1] + error * error
+            bias[0] += error - (math.sqrt(new) - math.sqrt(bias[1])) / p.alpha * bias[2]
+            bias[1] = new
+            bias[2] = -bias[0] / ((p.beta + math.sqrt(new)) / p.alpha)
+    model = fit_quality(docs, labels, p)
+    got = {r.doc_id: r for r in score_quality(docs, model, p).collect()}
+    for i, f in rows.items():
+        want = 1 / (1 + math.exp(-(sum(w.get(k, 0.0) for k in f) / math.sqrt(len(f)) + bias[2])))
+        assert got[i].score == pytest.approx(want, abs=1e-5) and got[i].predicted == int(got[i].score >= 0.3) and got[i].held_out == (i not in known)
+    assert fit_ftrl([], np.empty(0), p)[1] == 0.0

@@ -1,9 +1,9 @@
 """Quality classifier: logistic regression over hashed word n-grams, trained by
 follow-the-regularised-leader updates and applied as sparse dot products.
 
-Words are what white space separates. Features are the distinct runs of one and of two
-words, hashed to ``bits`` bits, and the share of pairs whose two words are equal, as one of
-a few levels; a text's feature vector has unit length.
+Words are what white space separates. Features are the distinct runs of one to three words,
+hashed to ``bits`` bits, and once more those that occur twice, four and eight times at least in the
+text; a text's feature vector has unit length.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ class QualityParams:
 
     bits: int = 18
     max_rows: int = 6000
-    max_features: int = 4096
     epochs: int = 3
     alpha: float = 5.0
     beta: float = 1.0
@@ -37,19 +36,20 @@ class QualityParams:
     threshold: float = 0.3
 
 
-#: Shares of equal pairs from which a level holds.
-LEVELS = (0.0, 0.02, 0.1, 0.3)
+#: Words in a run at most, and numbers of occurrences from which a run is a feature of its own.
+LONGEST, OFTEN = 3, (2, 4, 8)
 
 
 def features(words: np.ndarray, bits: int) -> np.ndarray:
-    """Distinct hashed features of one text's words: single words and pairs. An empty text has one of its own."""
+    """Distinct hashed features of one text's words, sorted. An empty text has one of its own."""
     if not len(words):
         return np.array([(1 << bits) - 1], np.int64)
-    pairs = mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])
-    found = np.unique(np.concatenate([words, pairs]) >> np.uint64(64 - bits)).astype(np.int64)
-    same = np.count_nonzero(words[:-1] == words[1:]) / len(words)
-    levels = [(1 << bits) + j for j, least in enumerate(LEVELS) if same > least]
-    return np.concatenate([found, np.array(levels, np.int64)])
+    runs = [words]
+    for k in range(1, min(LONGEST, len(words))):
+        runs.append(mix(runs[-1][:-1] * np.uint64(0xD6E8FEB86659FD93) + words[k:]))
+    found, n = np.unique(np.concatenate(runs), return_counts=True)
+    every = [found, *(mix(found[n >= least] + np.uint64(least)) for least in OFTEN)]
+    return np.unique(np.concatenate(every) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def text_features(column: pa.Array, bits: int) -> Iterator[np.ndarray]:
@@ -61,7 +61,7 @@ def text_features(column: pa.Array, bits: int) -> Iterator[np.ndarray]:
 
 def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, params: QualityParams) -> tuple[np.ndarray, float]:
     """Weights and bias after FTRL-proximal passes over the rows in a fixed shuffled order."""
-    size = (1 << params.bits) + len(LEVELS)
+    size = 1 << params.bits
     z, n, w = np.zeros(size), np.zeros(size), np.zeros(size)
     bias_z = bias_n = bias = 0.0
     rng = np.random.default_rng(7)
@@ -97,21 +97,17 @@ def _fitted_rows(docs: DataFrame, labels: DataFrame, params: QualityParams) -> D
 def fit_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> tuple[np.ndarray, float]:
     """Fits on the text and label of rows whose crc32(doc_id as text) mod 5 is not 0.
 
-    Only hashed features, max_features a text at most, reach the driver: max_rows of them,
-    whatever the size of the corpus. Without any labelled row all weights are 0. A doc_id with
+    All hashed features of a text are fitted; those of about max_rows texts reach the driver, at most
+    2^bits numbers each, whatever the size of the corpus. Without any labelled row all weights are 0. A doc_id with
     several labels counts once for each; other columns are ignored.
     """
-    bits, most = params.bits, params.max_features
+    bits = params.bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                packed = []
-                for f in text_features(part.column(1), bits):
-                    if len(f) > most:  # a fixed choice among the features of a very long text, for fitting only
-                        f = np.sort(f[np.argsort(mix(f.astype(np.uint64)))[:most]])
-                    packed.append(f.astype("<u4").tobytes())
+                packed = [f.astype("<u4").tobytes() for f in text_features(part.column(1), bits)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary()), part.column(2)], names=["_d", "f", "y"])
 
     got = _fitted_rows(docs, labels, params).select("_d", "_t", "_y").mapInArrow(run, "_d long, f binary, y double").orderBy("_d", "y", "f").toArrow()
