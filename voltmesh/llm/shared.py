@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a local one if the master is local, as in tests; on a cluster an error."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if given:
         return given.rstrip("/")
     have = spark.sparkContext.getCheckpointDir()
     if not have:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="voltmesh-"))
         have = spark.sparkContext.getCheckpointDir()
     return have.rstrip("/")
@@ -29,4 +31,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voltmesh/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of settle() that nothing reads any more: all that was made of them is settled itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.settled_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
