@@ -19,6 +19,8 @@ WINDOW = 10
 SHORT = 4
 #: Fingerprints of the items are broadcast if they are no more, and so are their windows, about 100 bytes each.
 BROADCAST_ROWS = 200_000
+#: Ids of documents with matches are broadcast, with the hashes that match, if there are no more documents and no more hashes, at most 100 MB; beyond, texts are shuffled to them.
+BROADCAST_DOCS, BROADCAST_HASHES = 500_000, 4_000_000
 _MARK = -1
 
 
@@ -133,6 +135,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
 
     # Matches are extended: around each, the windows of the document that hold it are compared word by word with those of the items.
     met = marks.where(F.size("fps") > 0).select(F.col("doc_id").alias("_id"), "fps")
+    size = met.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("fps")), F.lit(0)).alias("hashes")).first()
+    if size["docs"] <= BROADCAST_DOCS and size["hashes"] <= BROADCAST_HASHES:
+        met = F.broadcast(met)
     near, names = fingerprints(docs.select("doc_id", "text").join(met, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "fps", words_of(F.col("text")).alias("w")), lengths)
     spots = [F.array().cast("array<struct<len:int,at:int,window:string>>")]
     for n, (runs, _) in names.items():
