@@ -11,28 +11,27 @@ from pyspark.sql import functions as F
 
 from voltmesh.llm.bpe import encode_documents
 from voltmesh.llm.decontam import find_leaks
-from voltmesh.llm.langid import LangParams, fit_profiles, predict_language
+from voltmesh.llm.langid import fit_profiles, predict_language
 from voltmesh.llm.neardup import NearDupParams, near_duplicates
 from voltmesh.llm.quality import fit_quality, score_quality
 from voltmesh.llm.queries import vocabulary
-from voltmesh.llm.shared import settle
+from voltmesh.llm.shared import discard, settle
 
-#: Ids to drop are broadcast if they are no more than these, 16 MB; beyond, the documents are shuffled to them.
+#: Ids to drop are broadcast if they are no more than these, 24 MB; beyond, the documents are shuffled to them.
 BROADCAST_IDS = 1_000_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in gone."""
+    """docs without the rows whose doc_id, null or not, and hash of the text are in gone (_id, _mark)."""
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*COLUMNS)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti").select(*COLUMNS)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: rejected are texts without a letter and those that no profile is nearest to."""
-    params = LangParams()
-    found = predict_language(docs, fit_profiles(docs, params), keep=COLUMNS)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= params.min_score)).select(*COLUMNS)
+    """Documents with a language: rejected are those without a letter, which no profile is near to; close languages are no reason."""
+    return predict_language(docs, fit_profiles(docs), keep=COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,15 +42,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: shingles of five words, similarity 0.8 or more."""
-    gone = settle(near_duplicates(docs, NearDupParams()).where("not kept").select("doc_id"), "pipeline-copies")
-    return _without(docs, gone)
+    found = settle(near_duplicates(docs, NearDupParams(), marked=True), "pipeline-classes")
+    gone = found.where("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    out = _without(docs, gone)
+    # Rows that repeat an id with its text are one document; only those are shuffled.
+    again = found.where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.count("*").alias("n")).where("n > 1 and _id is not null").select("_id", "_mark")
+    if again.isEmpty():
+        return out
+    twice = out.join(again, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_mark")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return _without(out, again).unionByName(twice)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of ten words with a benchmark item."""
+    """Documents that share no window of ten words with a benchmark item. Rows that share a doc_id, null among them, are one document here."""
     leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = settle(leaks.where(F.size("hits") > 0).select("doc_id"), "pipeline-leaks")
-    return _without(docs, gone)
+    gone = settle(leaks.where(F.size("hits") > 0).select(F.col("doc_id").alias("_id")), "pipeline-leaks")
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +75,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
