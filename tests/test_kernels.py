@@ -67,3 +67,54 @@ def test_projection_agrees_with_columns():
     p = np.array([[5.0, 50.0], [-8.0, 37.0]])
     assert np.allclose(K.to_metric(p)[0], (3962799.4509550678, 2999718.8531595636), atol=1e-4)
     assert np.allclose(K.to_degrees(K.to_metric(p)), p, atol=1e-9)
+
+
+def test_valid_rings():
+    twice = line((0, 0), (1, 0), (1, 0), (1, 1), (0, 1), (0, 0))
+    spike = line((0, 0), (4, 0), (4, 4), (2, 4), (2, 6), (2, 4), (0, 4), (0, 0))
+    touching = line((0, 0), (4, 0), (4, 4), (2, 0), (0, 4), (0, 0))
+    notch = line((0, 0), (4, 0), (4, 4), (2, 1), (0, 4), (0, 0))
+    straight = line((0, 0), (2, 0), (4, 0), (4, 4), (0, 4), (0, 0))
+    assert [K.is_valid(x) for x in (twice, spike, touching, notch, straight)] == [True, False, False, True, True]
+
+
+def square(x, y, size=1.0):
+    return SQUARE * size + (x, y)
+
+
+def test_outlines_of_unions():
+    area = lambda rings: [round(K.ring_area(r), 6) for r in rings]
+    assert area(K.united([square(0, 0), square(0.5, 0.5)])) == [1.75]
+    assert area(K.united([square(0, 0), square(1, 0)])) == [2.0]  # a shared edge goes
+    assert area(K.united([square(0, 0), square(1, 0.5), square(2, 0)])) == [3.0]  # half of one
+    assert area(K.united([square(0, 0), square(0, 0)])) == [1.0] and area(K.united([square(0, 0, 3), square(1, 1)])) == [9.0]
+    assert area(K.united([square(0, 0, 3), square(0, 1)])) == [9.0]  # inside, along an edge
+    assert area(K.united([square(0, 0), square(5, 5, 2)])) == [4.0, 1.0]
+    assert sum(area(K.united([square(0, 0), square(1, 1)]))) == 2.0  # a shared corner
+    frame = [square(0, 0, 1), line((0, 1), (1, 1), (1, 3), (0, 3), (0, 1)), line((1, 2), (3, 2), (3, 3), (1, 3), (1, 2)), line((2, 0), (3, 0), (3, 2), (2, 2), (2, 0)), line((1, 0), (2, 0), (2, 1), (1, 1), (1, 0))]
+    assert area(K.united(frame)) == [9.0]  # the hole in its middle is filled
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12), st.integers(1, 6)), min_size=1, max_size=6))
+def test_unions_hold_what_their_parts_hold(boxes):
+    parts = [square(x, y, s) for x, y, s in boxes]
+    union = K.united(parts)
+    for x in np.arange(0.25, 18, 0.75):
+        for y in np.arange(0.25, 18, 0.75):
+            p = np.array((x, y))
+            if any(K.in_ring(p, r) for r in parts):
+                assert any(K.in_ring(p, r) for r in union)
+    assert sum(map(K.ring_area, union)) <= sum(map(K.ring_area, parts)) + sum(s * s for *_, s in boxes) + 1e-6
+
+
+def test_dilated_shapes():
+    ell = line((0, 0), (40, 0), (40, 10), (10, 10), (10, 40), (0, 40), (0, 0))
+    (wide,) = K.dilated(ell, 2.0)
+    # Area, edge length times the distance, five convex corners of a quarter disc and a square lost in the concave one.
+    assert abs(K.ring_area(wide) - (700 + 2 * 160 + 5 * math.pi - 4)) < 0.1
+    assert not K.in_ring(np.array((20.0, 20.0)), wide) and K.in_ring(np.array((11.5, 11.5)), wide)
+    (disc,) = K.dilated(line((3, 4)), 5.0)
+    assert abs(K.ring_area(disc) - 25 * math.pi) < 0.2
+    two = K.united(K.dilated(line((0, 0)), 5.0) + K.dilated(line((6, 0)), 5.0))
+    assert len(two) == 1 and np.allclose(K.pole(two[0], 0.01)[1], 0, atol=0.2)

@@ -8,9 +8,6 @@ from voltmesh import config as C
 from voltmesh.plans import build, clean, mapview, search
 from voltmesh.sources import sinks
 
-SQUARE = [(4.0, 50.0), (4.1, 50.0), (4.1, 50.1), (4.0, 50.1), (4.0, 50.0)]
-
-
 def payload(folder, name, elements):
     path = folder / f"BE_{name}.json"
     path.write_text(json.dumps({"elements": elements}))
@@ -21,52 +18,99 @@ def element(kind, number, points, **tags):
     return {"type": kind, "id": number, "tags": {k.replace("__", ":"): v for k, v in tags.items()}, "geometry": [{"lon": x, "lat": y} for x, y in points]}
 
 
-def test_line_inside_a_substation_goes(spark, tmp_path):
-    inputs = {
-        "substations_way": payload(tmp_path, "substations_way", [element("way", i, SQUARE, power="substation", voltage="220000") for i in (1, 2)]),
-        "lines_way": payload(tmp_path, "lines_way", [element("way", 3, [(4.02, 50.02), (4.08, 50.08)], power="line", voltage="220000")]),
-    }
-    buses, polygons, lines = clean.cleaned(spark, inputs, C.Config())
-    assert sorted(r.bus_id for r in buses.collect()) == ["way/1", "way/2"]
-    assert polygons.count() == 2 and lines.count() == 0
+def way(number, points, **more):
+    return element("way", number, points, **({"power": "line", "voltage": "400 kV"} | more))
 
 
-def test_relation_replaces_its_ways(spark, tmp_path):
-    ways = [element("way", 10, [(4.0, 50.0), (4.1, 50.0)], power="line", voltage="220000"), element("way", 11, [(4.1, 50.0), (4.2, 50.0)], power="line", voltage="220000")]
-    relation = {"type": "relation", "id": 99, "tags": {"route": "power", "power": "circuit", "voltage": "220000"}, "members": [{"type": "way", "ref": w["id"], "role": "", "geometry": w["geometry"]} for w in ways]}
-    inputs = {"lines_way": payload(tmp_path, "lines_way", ways), "routes_relation": payload(tmp_path, "routes_relation", [relation])}
-    rows = clean.cleaned(spark, inputs, C.Config())[2].collect()
-    assert [r.line_id for r in rows] == ["relation/99"] and sorted(rows[0].contains) == ["way/10", "way/11"] and len(rows[0].geometry) == 3
+#: An L of two yards, its inner corner at (7.02, 48.02).
+ELL = [(7.0, 48.0), (7.06, 48.0), (7.06, 48.02), (7.02, 48.02), (7.02, 48.05), (7.0, 48.05)]
 
 
-def frames(spark):
-    point = lambda x, y: {"lon": x, "lat": y}
+def test_lines_inside_an_angled_substation_go(spark, tmp_path):
+    yard = element("way", 70, ELL, power="substation", voltage="400000;220000")
+    lines = {
+        1: [(7.005, 48.04), (7.01, 48.01), (7.05, 48.005)],  # around the corner, inside throughout
+        2: [(7.01, 48.04), (7.05, 48.01)],  # cuts across the inner corner
+        3: [(7.01, 48.01), (7.01, 47.9)],  # leaves at the bottom
+        4: [(7.2, 48.0), (7.3, 48.1)],  # elsewhere
+        5: [(7.4, 48.0), (7.5, 48.0), (7.5, 48.1), (7.4, 48.0)],  # a ring
+    }
+    inputs = {"substations_way": payload(tmp_path, "substations_way", [yard]), "lines_way": payload(tmp_path, "lines_way", [way(i, p) for i, p in lines.items()])}
+    buses, polygons, out = clean.cleaned(spark, inputs, C.Config())
+    assert sorted((r.bus_id, r.voltage) for r in buses.collect()) == [("way/70-1", 400000), ("way/70-2", 220000)] and polygons.count() == 2
+    got = {r.line_id: [(round(p.lon, 6), round(p.lat, 6)) for p in r.geometry] for r in out.collect()}
+    assert set(got) == {"way/2", "way/3", "way/4"} and got["way/4"] == lines[4]
+    pole = (got["way/3"][0], got["way/2"][0])
+    assert pole[0] == pole[1] and got["way/3"][1:] == [(7.01, 48.0), (7.01, 47.9)]
+    assert 7.0 < pole[0][0] < 7.06 and 48.0 < pole[0][1] < 48.05
+
+
+def test_relations_of_one_line_take_the_place_of_their_ways(spark, tmp_path):
+    bends = {31: [(-3.5, 40.0), (-3.4, 40.1)], 32: [(-3.2, 40.0), (-3.4, 40.1)], 33: [(-3.2, 40.0), (-3.1, 40.2), (-3.0, 40.2)], 34: [(-2.0, 41.0), (-1.9, 41.0)], 35: [(-1.5, 41.0), (-1.4, 41.0)], 36: [(-1.0, 41.0), (-0.9, 41.0)]}
+    ways = [way(i, p, circuits="2") for i, p in bends.items()]
+    of = {w["id"]: w for w in ways}
+
+    def relation(number, members, **more):
+        rows = [{"type": "way", "ref": i, "role": "", "geometry": of[i]["geometry"]} for i in members] + [{"type": "node", "ref": 1, "role": "", "geometry": None}]
+        return {"type": "relation", "id": number, "tags": {"route": "power", "voltage": "400000", "frequency": "50"} | more, "members": rows}
+
+    # One whole, one torn, one that shares a way with the torn one, and a DC one.
+    relations = [relation(1, (32, 31, 33)), relation(2, (34, 35)), relation(3, (34,)), relation(4, (36,), frequency="0")]
+    inputs = {"lines_way": payload(tmp_path, "lines_way", ways), "routes_relation": payload(tmp_path, "routes_relation", relations)}
+    rows = {r.line_id: r for r in clean.cleaned(spark, inputs, C.Config())[2].collect()}
+    assert set(rows) == {"relation/1", "way/34", "way/35", "way/36"}
+    whole = rows["relation/1"]
+    ends = [(p.lon, p.lat) for p in whole.geometry]
+    assert sorted(whole.contains) == ["way/31", "way/32", "way/33"] and not whole.underground
+    assert ends in ([(-3.5, 40.0), (-3.4, 40.1), (-3.2, 40.0), (-3.1, 40.2), (-3.0, 40.2)], [(-3.0, 40.2), (-3.1, 40.2), (-3.2, 40.0), (-3.4, 40.1), (-3.5, 40.0)])
+
+
+def tables(spark, buses=(), rings=(), lines=()):
+    """Clean tables of (bus, kV, point), (bus, kV, ring) and (way number, kV, circuits, points)."""
     from voltmesh import schemas
 
-    empty_buses = spark.createDataFrame([], schemas.SUBSTATIONS)
-    empty_polygons = spark.createDataFrame([], schemas.SUBSTATION_POLYGONS)
-    lines = [("way/1", 1, 220000, False, False, None, ["way/1"], [point(4.0, 50.0), point(4.1, 50.0)]), ("way/2", 1, 220000, True, False, None, ["way/2"], [point(4.1, 50.0), point(4.2, 50.0)])]
-    return empty_buses, empty_polygons, spark.createDataFrame(lines, schemas.LINES)
-
-
-def test_two_segments_become_one_line(spark, tmp_path):
-    net = build.built(*frames(spark), C.Config(network=C.Network(station_merge_radius_m=1.0)))
-    buses, lines = net["buses"].collect(), net["lines"].collect()
-    assert (len(buses), len(lines), net["transformers"].count(), net["stations_polygon"].count()) == (2, 1, 0, 2)
-    (r,) = lines
-    assert r.bus0 != r.bus1 and {r.bus0, r.bus1} == {b.bus_id for b in buses} and r.osm_ids == "way/1;way/2" and r.voltage_kv == 220
+    at = lambda p: {"lon": float(p[0]), "lat": float(p[1])}
+    return (
+        spark.createDataFrame([(b, kv * 1000, "FR", False, None, b, at(p)) for b, kv, p in buses], schemas.SUBSTATIONS),
+        spark.createDataFrame([(b, kv * 1000, [[at(p) for p in ring]]) for b, kv, ring in rings], schemas.SUBSTATION_POLYGONS),
+        spark.createDataFrame([(f"way/{i}", c, kv * 1000, False, False, None, [f"way/{i}"], [at(p) for p in points]) for i, kv, c, points in lines], schemas.LINES),
+    )
+
+
+def test_a_fork_stays_and_a_chain_becomes_one_line(spark, tmp_path):
+    hub = (12.0, 55.0)
+    lines = [(5, 380, 2, [(11.5, 55.0), (11.7, 55.1)]), (6, 380, 2, [(11.8, 55.0), (11.7, 55.1)]), (7, 380, 2, [(11.8, 55.0), hub]), (8, 380, 2, [hub, (12.3, 55.2)]), (9, 380, 2, [hub, (12.3, 54.8)])]
+    net = build.built(*tables(spark, lines=lines), C.Config(network=C.Network(station_merge_radius_m=25.0)))
+    buses, got = {b.bus_id: b for b in net["buses"].collect()}, net["lines"].collect()
+    assert len(buses) == 4 and net["transformers"].count() == 0 and net["stations_polygon"].count() == 4
+    assert sorted(r.osm_ids for r in got) == ["way/5;way/6;way/7", "way/8", "way/9"] and {r.circuits for r in got} == {2} and {r.voltage_kv for r in got} == {380}
+    (at_hub,) = set.intersection(*({r.bus0, r.bus1} for r in got))
+    assert (round(buses[at_hub].geometry.lon, 4), round(buses[at_hub].geometry.lat, 4)) == hub
     assert net["lines"].columns == ["line_id", "bus0", "bus1", "voltage_kv", "circuits", "length_m", "underground", "osm_ids", "geometry"]
     sinks.write_csv(net["lines"], str(tmp_path / "csv"))
     sinks.write_geojson(net["lines"], str(tmp_path / "lines.geojson"))
-    feature = json.loads((tmp_path / "lines.geojson").read_text())["features"][0]
-    assert feature["geometry"]["type"] == "LineString" and feature["properties"]["voltage_kv"] == 220
+    features = json.loads((tmp_path / "lines.geojson").read_text())["features"]
+    assert [f["geometry"]["type"] for f in features] == ["LineString"] * 3 and features[0]["properties"]["voltage_kv"] == 380
     assert mapview.write_map(net, str(tmp_path / "map.html")) > 500
 
 
+def test_stations_of_several_voltages_get_transformers(spark):
+    ring = [(20.0, 60.0), (20.01, 60.0), (20.01, 60.005), (20.0, 60.005), (20.0, 60.0)]
+    middle = (20.005, 60.0025)
+    buses = [("way/1-1", 400, middle), ("way/1-2", 220, middle)]
+    rings = [("way/1-1", 400, ring), ("way/1-2", 220, ring)]
+    lines = [(2, 400, 1, [middle, (20.2, 60.0025)]), (3, 220, 3, [middle, (20.005, 60.2)])]
+    net = build.built(*tables(spark, buses, rings, lines), C.Config(network=C.Network(station_merge_radius_m=50.0)))
+    assert [(r.transformer_id, r.voltage_bus0_kv, r.voltage_bus1_kv) for r in net["transformers"].collect()] == [("way/1-400-220", 400, 220)]
+    assert {"way/1-400", "way/1-220"} < {r.bus_id for r in net["buses"].collect()} and net["buses"].count() == 4
+
+
 def test_nothing_to_build(spark):
-    buses, polygons, lines = frames(spark)
-    net = build.built(buses, polygons, lines.limit(0), C.Config())
-    assert all(df.count() == 0 for df in net.values())
+    ring = [(20.0, 60.0), (20.01, 60.0), (20.01, 60.005), (20.0, 60.0)]
+    for given in (tables(spark), tables(spark, [("way/1", 400, (20.005, 60.001))], [("way/1", 400, ring)])):
+        net = build.built(*given, C.Config())
+        assert all(df.count() == 0 for name, df in net.items() if name != "buses_polygon")
+    assert net["buses_polygon"].count() == 1
 
 
 @pytest.mark.parametrize(

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import json
+import re
+import unicodedata
+from collections.abc import Iterator, Mapping
 from datetime import date, datetime
+from importlib import resources
 from pathlib import Path
 from typing import Any, Literal
 
@@ -12,44 +18,58 @@ from pydantic import BaseModel, ConfigDict, Field, field_validator
 
 from voltmesh import rules
 
-# ISO 3166-1 alpha-2 codes.
-COUNTRIES = frozenset(
-    "AD AE AF AG AI AL AM AO AQ AR AS AT AU AW AX AZ BA BB BD BE BF BG BH BI BJ BL BM BN BO BQ BR BS BT BV BW BY BZ "
-    "CA CC CD CF CG CH CI CK CL CM CN CO CR CU CV CW CX CY CZ DE DJ DK DM DO DZ EC EE EG EH ER ES ET FI FJ FK FM FO FR "
-    "GA GB GD GE GF GG GH GI GL GM GN GP GQ GR GS GT GU GW GY HK HM HN HR HT HU ID IE IL IM IN IO IQ IR IS IT JE JM JO JP "
-    "KE KG KH KI KM KN KP KR KW KY KZ LA LB LC LI LK LR LS LT LU LV LY MA MC MD ME MF MG MH MK ML MM MN MO MP MQ MR MS MT MU MV MW MX MY MZ "
-    "NA NC NE NF NG NI NL NO NP NR NU NZ OM PA PE PF PG PH PK PL PM PN PR PS PT PW PY QA RE RO RS RU RW "
-    "SA SB SC SD SE SG SH SI SJ SK SL SM SN SO SR SS ST SV SX SY SZ TC TD TF TG TH TJ TK TL TM TN TO TR TT TV TW TZ "
-    "UA UG UM US UY UZ VA VC VE VG VI VN VU WF WS XK YE YT ZA ZM ZW".split()
-)
-# Names that files may use in place of a code.
-COUNTRY_NAMES = {"belgium": "BE", "benin": "BJ", "brazil": "BR", "mexico": "MX", "netherlands": "NL", "philippines": "PH", "united-states": "US"}
+#: Codes in use that ISO 3166 does not list, with their names.
+MORE_COUNTRIES = {"XK": "Kosovo"}
+
+
+@functools.cache
+def countries() -> dict[str, str]:
+    """Code of each country by its code and by its name, both in lower case with dashes for all that is no letter.
+
+    From the table of ISO 3166 codes and names that comes with the time zone data.
+    """
+    for text in _zone_tables():
+        rows = [x.split("\t") for x in text.splitlines() if x and not x.startswith("#")]
+        named = {code: name for code, name, *_ in rows} | MORE_COUNTRIES
+        return {_plain(x): code for code, name in named.items() for x in (code, name, re.sub(r"\s*\(.*\)", "", name))}
+    raise FileNotFoundError("no iso3166.tab: install tzdata")
+
+
+def _zone_tables() -> Iterator[str]:
+    with contextlib.suppress(ModuleNotFoundError, FileNotFoundError):
+        yield (resources.files("tzdata") / "zoneinfo" / "iso3166.tab").read_text(encoding="utf-8")
+    with contextlib.suppress(FileNotFoundError):
+        yield Path("/usr/share/zoneinfo/iso3166.tab").read_text(encoding="utf-8")
+
+
+def _plain(name: str) -> str:
+    bare = "".join(c for c in unicodedata.normalize("NFKD", name.lower()) if not unicodedata.combining(c))
+    return re.sub(r"[^a-z]+", "-", bare).strip("-")
 
 
 def country_code(name: str) -> str:
     """The code of a country given by code or name; raises ValueError for others."""
-    code = COUNTRY_NAMES.get(name.strip().lower(), name.strip().upper())
-    if code not in COUNTRIES:
+    code = countries().get(_plain(name))
+    if code is None:
         raise ValueError(f"no such country: {name!r}")
     return code
 
 
-class Settings(BaseModel):
-    """A closed model: unknown keys are errors."""
+class Settings(BaseModel, Mapping):
+    """A closed model, unknown keys being errors, that reads as a mapping of its fields too."""
 
     model_config = ConfigDict(extra="forbid")
 
     def __getitem__(self, key: str) -> Any:
-        return getattr(self, key)
+        if key not in type(self).model_fields:
+            raise KeyError(key)
+        return self.__dict__[key]
 
-    def get(self, key: str, default: Any = None) -> Any:
-        return getattr(self, key, default)
+    def __iter__(self) -> Iterator[str]:
+        return iter(type(self).model_fields)
 
-    def keys(self) -> list[str]:
-        return list(type(self).model_fields)
-
-    def items(self) -> list[tuple[str, Any]]:
-        return [(k, getattr(self, k)) for k in self.keys()]
+    def __len__(self) -> int:
+        return len(type(self).model_fields)
 
 
 class UserAgent(Settings):
@@ -109,8 +129,10 @@ class RegionalNetwork(Settings):
 
 
 class Crs(Settings):
-    geo: str = "EPSG:4326"
-    distance: str = "EPSG:3035"
+    """Coordinates are degrees, and distances those of the European equal-area projection; others are refused."""
+
+    geo: Literal["EPSG:4326"] = "EPSG:4326"
+    distance: Literal["EPSG:3035"] = "EPSG:3035"
 
 
 class Config(Settings):

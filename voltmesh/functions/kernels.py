@@ -107,20 +107,150 @@ def distance_to_path(p: np.ndarray, line: Line) -> float:
     return float(np.hypot(*(a + t[:, None] * d - p).T).min())
 
 
+def without_repeats(line: Line) -> Line:
+    """A line without points that equal the one before them."""
+    return line[np.concatenate([[True], (line[1:] != line[:-1]).any(1)])] if len(line) else line
+
+
+def _cross(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+
+
 def is_valid(ring: np.ndarray) -> bool:
-    """A closed ring of at least three corners whose edges meet only at common ends."""
-    if len(ring) < 4 or not is_closed(ring) or ring_area(ring) == 0:
+    """A closed ring of at least three corners whose edges meet only at the ends that neighbours share; a corner may be written twice in a row."""
+    ring = without_repeats(ring)
+    if len(ring) < 4 or not is_closed(ring) or ring_area(ring) == 0 or len(np.unique(ring[:-1], axis=0)) < len(ring) - 1:
         return False
     n = len(ring) - 1
     a, b = ring[:-1], ring[1:]
-    cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+
+    def touches(p: np.ndarray, side: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Whether points, given their sides of the line through u and v, lie between u and v, ends excepted."""
+        return (side == 0) & (((p - u) * (v - u)).sum(-1) > 0) & (((p - v) * (u - v)).sum(-1) > 0)
+
     for i in range(n - 1):
-        j = np.arange(i + 1, n)
-        d1, d2 = cross(b[i] - a[i], a[j] - a[i]), cross(b[i] - a[i], b[j] - a[i])
-        d3, d4 = cross(b[j] - a[j], a[i] - a[j]), cross(b[j] - a[j], b[i] - a[j])
-        if ((d1 * d2 < 0) & (d3 * d4 < 0)).any():
+        u, v, p, q = a[i], b[i], a[i + 1 :], b[i + 1 :]
+        d1, d2 = _cross(v - u, p - u), _cross(v - u, q - u)
+        d3, d4 = _cross(q - p, u - p), _cross(q - p, v - p)
+        if ((d1 * d2 < 0) & (d3 * d4 < 0)).any() or touches(p, d1, u, v).any() or touches(q, d2, u, v).any() or touches(u, d3, p, q).any() or touches(v, d4, p, q).any():
+            return False
+    return True
+
+
+def is_convex(ring: np.ndarray) -> bool:
+    d = np.diff(without_repeats(ring), axis=0)
+    turns = _cross(d, np.roll(d, -1, axis=0))
+    return bool((turns >= 0).all() or (turns <= 0).all()) and len(convex_hull(ring)) > 3
+
+
+def _counter_clockwise(ring: np.ndarray) -> np.ndarray:
+    x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
+    return ring if (x[:-1] * y[1:] - x[1:] * y[:-1]).sum() >= 0 else ring[::-1]
+
+
+def united(rings: list[np.ndarray], tolerance: float = 1e-9) -> list[np.ndarray]:
+    """The outlines of the union of valid rings, largest first; holes are filled.
+
+    Each edge is cut wherever it meets another ring. Pieces inside another ring go, and of those that
+    run along another ring's edge, one stays if the rings lie on the same side of it and none if
+    they lie on either side. The pieces that are left are chained. tolerance is a share of the extent.
+    """
+    rings = [_counter_clockwise(without_repeats(r)) for r in rings if len(r) > 3]
+    if len(rings) < 2:
+        return rings
+    low, high = (f([f(r, axis=0) for r in rings], axis=0) for f in (np.min, np.max))
+    eps = tolerance * float((high - low).max())
+    boxes = np.array([[*r.min(0), *r.max(0)] for r in rings])
+    pieces: list[tuple[np.ndarray, np.ndarray]] = []
+    for i, ring in enumerate(rings):
+        near = [j for j in np.flatnonzero((boxes[:, 0] <= boxes[i, 2] + eps) & (boxes[i, 0] <= boxes[:, 2] + eps) & (boxes[:, 1] <= boxes[i, 3] + eps) & (boxes[i, 1] <= boxes[:, 3] + eps)) if j != i]
+        if not near:
+            pieces += zip(ring[:-1], ring[1:], strict=True)
+            continue
+        e, f = np.concatenate([rings[j][:-1] for j in near]), np.concatenate([np.diff(rings[j], axis=0) for j in near])
+        for a, b in zip(ring[:-1], ring[1:], strict=True):
+            d = b - a
+            size = float(d @ d)
+            det, w = _cross(d, f), e - a
+            ok = np.abs(det) > 1e-12 * math.sqrt(size) * np.hypot(*f.T)
+            t, u = _cross(w[ok], f[ok]) / det[ok], _cross(w[ok], d) / det[ok]
+            slack = eps / np.hypot(*f[ok].T)
+            along = w @ d / size
+            on = np.abs(_cross(w, d)) <= eps * math.sqrt(size)
+            cuts = np.concatenate([[0.0, 1.0], t[(t > 0) & (t < 1) & (u >= -slack) & (u <= 1 + slack)], along[on & (along > 0) & (along < 1)]])
+            cuts = np.unique(cuts)
+            cuts = cuts[np.concatenate([[True], np.diff(cuts) * math.sqrt(size) > eps])]
+            cuts[-1] = 1.0
+            for s, x in zip(cuts[:-1], cuts[1:], strict=True):
+                if _is_outline(a + d * (s + x) / 2, d, i, rings, near, eps):
+                    pieces.append((a if s == 0 else a + d * s, b if x == 1 else a + d * x))
+    outlines = [r for r in _chained(pieces, 8 * eps) if ((r[:-1, 0] - r[0, 0]) * (r[1:, 1] - r[0, 1]) - (r[1:, 0] - r[0, 0]) * (r[:-1, 1] - r[0, 1])).sum() > 0]
+    return sorted(outlines, key=ring_area, reverse=True)
+
+
+def _is_outline(p: np.ndarray, d: np.ndarray, i: int, rings: list[np.ndarray], near: list[int], eps: float) -> bool:
+    """Whether a piece of ring i around p, running along d, bounds the union of all rings."""
+    for j in near:
+        r = rings[j]
+        a, f = r[:-1], np.diff(r, axis=0)
+        t = np.clip(((p - a) * f).sum(1) / (f * f).sum(1), 0, 1)
+        far = np.hypot(*(a + t[:, None] * f - p).T)
+        k = int(far.argmin())
+        if far[k] <= 4 * eps:
+            if f[k] @ d < 0 or j < i:
+                return False
+        elif in_ring(p, r):
             return False
-    return len(np.unique(ring[:-1], axis=0)) == n
+    return True
+
+
+def _chained(pieces: list[tuple[np.ndarray, np.ndarray]], eps: float) -> list[np.ndarray]:
+    """Closed rings from directed pieces whose ends meet to within eps; where several leave a place, the sharpest turn to the right is taken, so that rings touch and don't cross."""
+    places: dict[tuple[int, int], list[int]] = {}
+    points: list[np.ndarray] = []
+
+    def place(p: np.ndarray) -> int:
+        cell = np.floor(p / (2 * eps)).astype(np.int64)
+        for x in (-1, 0, 1):
+            for y in (-1, 0, 1):
+                for k in places.get((int(cell[0]) + x, int(cell[1]) + y), ()):
+                    if np.hypot(*(points[k] - p)) <= eps:
+                        return k
+        points.append(p)
+        places.setdefault((int(cell[0]), int(cell[1])), []).append(len(points) - 1)
+        return len(points) - 1
+
+    leaving: dict[int, list[int]] = {}
+    for a, b in ((place(a), place(b)) for a, b in pieces):
+        if a != b:
+            leaving.setdefault(a, []).append(b)
+    out = []
+    while leaving:
+        at = start = next(iter(leaving))
+        chain = [start]
+        while at in leaving:
+            ways = leaving[at]
+            came = points[at] - points[chain[-2]] if len(chain) > 1 else None
+            turn = lambda k: math.atan2(float(_cross(came, points[k] - points[at])), float(came @ (points[k] - points[at])))  # noqa: B023, E731
+            chosen = ways[0] if came is None or len(ways) == 1 else min(ways, key=turn)
+            ways.remove(chosen)
+            if not ways:
+                del leaving[at]
+            at = chosen
+            chain.append(at)
+            if at == start:
+                break
+        if at == start and len(chain) > 3:
+            out.append(np.array([points[k] for k in chain]))
+    return out
+
+
+def dilated(shape: np.ndarray, radius: float, corners: int = 64) -> list[np.ndarray]:
+    """The outlines of a point, line or ring with its inside, moved out by a distance; corners to a full circle."""
+    if len(shape) == 1 or (len(shape) > 3 and is_closed(shape) and is_convex(shape)):
+        return [dilated_hull(shape, radius, corners)]
+    sides = [dilated_hull(shape[k : k + 2], radius, corners) for k in range(len(shape) - 1)]
+    return united([shape, *sides] if len(shape) > 3 and is_closed(shape) else sides)
 
 
 def pole(ring: np.ndarray, tolerance: float) -> np.ndarray:

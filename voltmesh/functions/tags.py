@@ -15,14 +15,19 @@ def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def _quoted(text: str) -> str:
+    """A replacement that stands for itself."""
+    return text.replace("\\", "\\\\").replace("$", "\\$")
+
+
 def corrected(col: Column, steps: list[tuple]) -> Column:
-    """Applies the steps of a rule list in order."""
+    """Applies the steps of a rule list in order. Each step names the value before it once, so that the plan grows with the number of steps."""
 
     def apply(value: Column, step: tuple) -> Column:
         if step[0] == "lower":
             return F.lower(value)
         if step[0] == "exact":
-            return F.when(value == step[1], F.lit(step[2])).otherwise(value)
+            return F.regexp_replace(value, rf"\A\Q{step[1]}\E\z", _quoted(step[2]))
         return F.replace(value, F.lit(step[1]), F.lit(step[2]))
 
     return reduce(apply, steps, as_text(col))
@@ -96,7 +101,9 @@ def is_route(power: Column, route: Column, construction_power: Column) -> Column
 
 
 def is_substation_relation(power: Column, construction: Column, construction_power: Column) -> Column:
-    return F.coalesce(feature_of(power, construction, construction_power) == "substation", F.lit(False))
+    """A relation that is a substation, standing or being built, whatever else its tags name."""
+    tests = (power == "substation", construction_power == "substation", (power == "construction") & (construction == "substation"))
+    return reduce(lambda x, y: x | y, (F.coalesce(test, F.lit(False)) for test in tests))
 
 
 def voltage_at_least(voltage: Column, volts: int) -> Column:

@@ -47,6 +47,7 @@ def _many(x) -> list[np.ndarray]:
 
 merged = kernel(lambda parts: [as_points(p) for p in K.merged_lines(_many(parts))], LINES)
 hull = kernel(lambda line: as_points(K.convex_hull(_shape(line))), G.LINE)
+dissolved = kernel(lambda rings: [as_points(r) for r in K.united(_many(rings))], G.POLYGON)
 valid = kernel(lambda ring: bool(K.is_valid(_shape(ring))), "boolean")
 _pole = kernel(lambda ring, tol: as_points(K.pole(_shape(ring), tol)[None]), G.LINE)
 split = kernel(lambda line, points: [as_points(p) for p in K.split_at(_shape(line), list(_shape(points)))], LINES)

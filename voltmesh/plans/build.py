@@ -102,19 +102,22 @@ def stations(members: DataFrame, radius_m: float) -> DataFrame:
     """(component, station_id, poi, shapes, geometry) of clustered members.
 
     A station goes by its largest widened member, without suffix where no other station has
-    the same base id; poi is the pole of that member, or the middle of a station of points.
+    the same base id; poi is the pole of that member, or of the whole station if the member is a
+    point. geometry holds the outlines of the union of the widened members.
     """
 
     def one(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["member"])
         parts = [[K.to_metric(as_array(s)) for s in r["shapes"]] for r in rows]
-        area = [sum((K.ring_area(s) if len(s) > 3 else 0.0) + K.length(s) * radius_m + np.pi * radius_m**2 for s in x) for x in parts]
-        i = int(np.argmax(area))
+        wide = [K.united([ring for s in x for ring in K.dilated(s, radius_m)]) for x in parts]
+        i = int(np.argmax([sum(K.ring_area(r) for r in x) for x in wide]))
+        outline = K.united([r for x in wide for r in x])
         rings = [s for s in parts[i] if len(s) > 3]
-        flat = [s for x in parts for s in x]
-        poi = K.pole(max(rings, key=K.ring_area), radius_m / 2) if rings else np.concatenate(flat).mean(0)
-        outline = [as_points(K.to_degrees(K.dilated_hull(s, radius_m, 32))) for s in flat]
-        row = {"component": rows[0]["component"], "name": rows[i]["member"], "poi": as_points(K.to_degrees(poi[None]))[0], "shapes": [as_points(K.to_degrees(s)) for s in flat], "geometry": outline}
+        poi = K.pole(max(rings or outline, key=K.ring_area), radius_m / 500 if rings else radius_m / 100)
+        row = {
+            "component": rows[0]["component"], "name": rows[i]["member"], "poi": as_points(K.to_degrees(poi[None]))[0],
+            "shapes": [as_points(K.to_degrees(s)) for x in parts for s in x], "geometry": [as_points(K.to_degrees(r)) for r in outline],
+        }
         return pa.Table.from_pylist([row], schema)
 
     ddl = f"component string, name string, poi {G.POINT}, shapes {G.POLYGON}, geometry {G.POLYGON}"
@@ -190,13 +193,14 @@ def line_buses(df: DataFrame) -> DataFrame:
 
 
 def built(substations: DataFrame, polygons: DataFrame, df: DataFrame, config: C.Config) -> dict[str, DataFrame]:
-    """buses, lines, transformers, stations_polygon and buses_polygon; typed and empty where there is nothing to build."""
+    """buses, lines, transformers, stations_polygon and buses_polygon; all but the last are typed and empty where there are no lines."""
     net = config.network
     after = None if net.remove_after is None else str(net.remove_after)
     radius = net.station_merge_radius_m
     buses = lines.in_service(substations, net.remove_under_construction, after)
     polygons = polygons.join(buses.select("bus_id").distinct(), "bus_id", "left_semi").select(ids.base(F.col("bus_id")).alias("bus_id"), "geometry").distinct()
     buses, polygons = graph.settled(_floored(buses).select("bus_id", "voltage", "geometry", F.array("contains").alias("contains"))), graph.settled(polygons)
+    nothing = df.isEmpty()
     df = lines.in_service(df, net.remove_under_construction, after).withColumn("_row", F.col("line_id"))
     df = graph.settled(_floored(lines.merged_identical(df)).select("line_id", "circuits", "voltage", "underground", "geometry"))
     df = graph.settled(split_overpassing(df, buses.select("geometry").unionByName(graph.virtual_buses(df).select("geometry"))))
@@ -204,7 +208,8 @@ def built(substations: DataFrame, polygons: DataFrame, df: DataFrame, config: C.
     ends = graph.settled(graph.virtual_buses(df.withColumn("line_id", F.regexp_replace("line_id", "^merged_", ""))))
     every = buses.unionByName(ends.select("bus_id", "voltage", "geometry", "contains"))
     members = graph.settled(clustered(station_members(every, polygons), radius))
-    places = graph.settled(stations(members, radius))
+    places = stations(members, radius)
+    places = graph.settled(places.limit(0) if nothing else places)
     merged = graph.settled(station_buses(every, members, places))
     joined = graph.settled(connected_lines(df, ends, members, places, merged, radius))
     live = merged.join(line_buses(joined), "bus_id", "left_semi")

@@ -12,7 +12,7 @@ from voltmesh import rules
 from voltmesh.functions import geometry as G
 from voltmesh.functions import ids, tags
 from voltmesh.operators import graph, lines, shapes, spatial
-from voltmesh.plans import build, lens, mapview, search
+from voltmesh.plans import build, clean, lens, mapview, search
 from voltmesh.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,8 +188,7 @@ def classify_feature(spark, d):
 def route_relation(spark, d):
     df = lens.rows(spark, d, ELE)
     p, c, cp = F.col("power"), F.col("construction"), F.col("construction_power")
-    station = (F.coalesce(p == "substation", F.lit(False))) | F.coalesce(cp == "substation", F.lit(False)) | F.coalesce((p == "construction") & (c == "substation"), F.lit(False))
-    return df.select("id", tags.is_route(p, F.col("route"), cp).alias("is_route"), station.alias("is_substation"))
+    return df.select("id", tags.is_route(p, F.col("route"), cp).alias("is_route"), tags.is_substation_relation(p, c, cp).alias("is_substation"))
 
 
 # -- rows of one feature
@@ -233,10 +232,82 @@ def merge_identical_lines(spark, d):
     return lines.merged_identical(df).select("line_id", "voltage", "circuits")
 
 
-@query(f"SELECT id FROM ({LIN}) l WHERE NOT EXISTS (SELECT 1 FROM ({CHA}) c WHERE c.id = l.relation_id AND c.voltage = 380000)")
+def _raw_ways(spark, d):
+    """The line lens as raw ways."""
+    none = F.lit(None).cast("string")
+    return lens.rows(spark, d, LIN).select(
+        F.concat(F.lit("way/"), F.col("id").cast("string")).alias("id"), F.lit("BE").alias("country"), "voltage", "cables", "circuits", "frequency", "power",
+        none.alias("construction"), none.alias("construction:power"), none.alias("start_date"), lens.line().alias("geometry"), F.col("id").alias("_row"),
+    )
+
+
+_WAYS = f"""SELECT 'way/' || c.id AS line_id, c.voltage, c.circuits, l.power = 'cable' AS underground, 'way/' || CAST(l.id AS VARCHAR) AS contains, l.relation_id
+FROM ({CASCADE_SQL}) c JOIN ({LIN}) l ON CAST(string_split(c.id, '-')[1] AS BIGINT) = l.id WHERE c.frequency <> '0'"""
+
+
+@query(f"SELECT line_id, voltage, circuits, underground, contains FROM ({_WAYS})")
+def way_lines(spark, d):
+    """Raw ways cleaned to lines: circuits inferred, DC and low voltages gone."""
+    return clean.way_lines(_raw_ways(spark, d), None, C.Config()).select("line_id", "voltage", "circuits", "underground", F.col("contains")[0].alias("contains"))
+
+
+@query(f"SELECT line_id FROM ({_WAYS}) l WHERE NOT EXISTS (SELECT 1 FROM ({CHA}) c WHERE c.id = l.relation_id AND c.voltage = 380000)")
 def ways_not_in_relation(spark, d):
-    covered = lens.rows(spark, d, CHA).where("voltage = 380000").select(F.col("id").alias("relation_id"))
-    return lens.rows(spark, d, LIN).join(covered, "relation_id", "left_anti").select("id")
+    relation = lens.rows(spark, d, CHA).where("voltage = 380000").select(F.col("id").alias("relation_id"))
+    covered = lens.rows(spark, d, LIN).join(relation, "relation_id", "left_semi").select(F.concat(F.lit("way/"), F.col("id").cast("string")).alias("id"))
+    return clean.way_lines(_raw_ways(spark, d), covered, C.Config()).select("line_id")
+
+
+def _raw_relations(spark, d):
+    """Each path as a relation of its ways; the members of every fifth path leave a gap, and one path more shares a way with each of those."""
+    chain = lens.rows(spark, d, CHA)
+    member = F.struct(F.lit("way").alias("type"), F.col("id").alias("ref"), F.lit("").alias("role"), lens.line().alias("geometry"))
+    gap = (F.col("path") % 5 == 0) & (F.col("id") % 7 == 1)
+    whole = chain.where(~gap).groupBy("path").agg(F.max("voltage").cast("string").alias("voltage"), F.transform(F.array_sort(F.collect_list(F.struct("id", member.alias("m")))), lambda x: x["m"]).alias("members"))
+    extra = chain.where("path % 5 = 0 and id % 7 = 0").select((F.col("path") + 10_000_000).alias("path"), F.col("voltage").cast("string").alias("voltage"), F.array(member).alias("members"))
+    none = F.lit(None).cast("string")
+    return whole.unionByName(extra).select(
+        F.concat(F.lit("relation/"), F.col("path").cast("string")).alias("id"), F.lit("BE").alias("country"), "voltage", F.lit("").alias("cables"), F.lit("2").alias("circuits"), F.lit("50").alias("frequency"),
+        none.alias("power"), none.alias("construction"), none.alias("construction:power"), none.alias("start_date"), "members", F.col("path").alias("_row"),
+    )
+
+
+@query(f"""WITH p AS (SELECT path, max(voltage) AS voltage, count(*) AS n, string_agg('way/' || CAST(id AS VARCHAR), ';' ORDER BY 'way/' || CAST(id AS VARCHAR)) AS ways, count(*) FILTER (WHERE id % 7 = 0 OR id % 7 > 1) AS k, max(id % 7) AS last FROM ({CHA}) GROUP BY path)
+SELECT 'relation/' || CAST(path AS VARCHAR) AS line_id, CAST(voltage AS INT) AS voltage, 2 AS circuits, ways, CAST(n + 1 AS INT) AS points FROM p WHERE path % 5 <> 0""")
+def route_lines(spark, d):
+    """Relations whose ways make one line; torn ones go, and with them those that share a way."""
+    out = clean.route_lines(_raw_relations(spark, d), C.Config())
+    return out.select("line_id", "voltage", "circuits", F.array_join(F.array_sort("contains"), ";").alias("ways"), F.size("geometry").alias("points"))
+
+
+def _raw_sites(spark, d):
+    none = F.lit(None).cast("string")
+    return lens.rows(spark, d, SIT).select(
+        F.concat(F.lit("way/"), F.col("id").cast("string")).alias("id"), F.lit("BE").alias("country"), "voltage", F.lit("50 Hz").alias("frequency"), F.lit("substation").alias("power"),
+        none.alias("construction"), none.alias("construction:power"), none.alias("start_date"), F.lit(False).alias("is_node"), lens.square().alias("geometry"), F.col("id").alias("_row"),
+    )
+
+
+_SITE_LEVELS = f"""SELECT id, grp, grp_type, cx_u, cy_u, unnest(vs) AS v, generate_subscripts(vs, 1) AS nth, len(vs) AS n FROM (SELECT id, grp, grp_type, cx_u, cy_u, string_split({VOLTAGE_SQL}, ';') AS vs FROM ({SIT}))"""
+
+
+@query(f"""SELECT 'way/' || CAST(id AS VARCHAR) || CASE WHEN n > 1 THEN '-' || CAST(nth AS VARCHAR) ELSE '' END AS bus_id, CAST(v AS INT) AS voltage, 'way/' || CAST(id AS VARCHAR) AS contains, false AS being_built,
+ cx_u / 1e6 AS lon, cy_u / 1e6 AS lat FROM ({_SITE_LEVELS}) WHERE TRY_CAST(v AS INT) >= {MIN_VOLTS}""")
+def clean_substations(spark, d):
+    """Raw polygons cleaned to a substation for each voltage, at its pole."""
+    buses, _ = clean.clean_substations(_raw_sites(spark, d), C.Config())
+    return buses.select("bus_id", "voltage", "contains", F.col("under_construction").alias("being_built"), F.round("geometry.lon", 6).alias("lon"), F.round("geometry.lat", 6).alias("lat"))
+
+
+@query(f"""WITH g AS (SELECT grp, grp_type, min(cx_u) - 1000 AS west, max(cx_u) + 1000 AS east FROM ({SIT}) GROUP BY grp, grp_type)
+SELECT 'way/' || CAST(id AS VARCHAR) || CASE WHEN n > 1 THEN '-' || CAST(nth AS VARCHAR) ELSE '' END AS bus_id,
+ CASE WHEN g.grp_type = 0 THEN g.west ELSE cx_u - 1000 END / 1e6 AS west, CASE WHEN g.grp_type = 0 THEN g.east ELSE cx_u + 1000 END / 1e6 AS east
+FROM ({_SITE_LEVELS}) s JOIN g ON s.grp = g.grp WHERE TRY_CAST(v AS INT) >= {MIN_VOLTS}""")
+def substation_polygons(spark, d):
+    """The extent of each substation's polygon, those that touch together."""
+    _, polygons = clean.clean_substations(_raw_sites(spark, d), C.Config())
+    box = G.bounds(F.flatten("geometry"))
+    return polygons.select("bus_id", F.round(box["west"], 6).alias("west"), F.round(box["east"], 6).alias("east"))
 
 
 @query(f"SELECT id, string_agg(x, ';' ORDER BY x) AS osm_ids FROM (SELECT DISTINCT relation_id AS id, 'way/' || CAST(dup_id AS VARCHAR) AS x FROM ({LIN})) GROUP BY id")
@@ -271,14 +342,6 @@ def merge_components(spark, d):
     return graph.connected(pairs.select(number("a").alias("a"), number("b").alias("b")))
 
 
-@query()
-def contract_lines(spark, d):
-    """Lines after contraction, with their length."""
-    none = spark.createDataFrame([], f"bus_id string, geometry {G.POLYGON}")
-    df = build.contracted(_chain(spark, d).select("line_id", "circuits", "voltage", "underground", "geometry"), none)
-    return df.select("line_id", "circuits", "voltage", "underground", F.size("contains_lines").alias("parts"), G.rint(G.length_m(F.col("geometry")), 1).alias("length_m"))
-
-
 # -- geometry
 
 _LAEA = """WITH p AS (SELECT id, k, {x} / 1e6 AS lon, {y} / 1e6 AS lat FROM ({points})),
@@ -305,6 +368,16 @@ def line_length_m(spark, d):
     return lens.rows(spark, d, CHA).select("id", F.round(G.length_m(lens.line()), 2).alias("length_m"))
 
 
+@query(_laea(_ENDS.format(CHA)) + f""", s AS (SELECT a.id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS length FROM m a JOIN m b ON a.id = b.id AND a.k = 0 AND b.k = 1)
+SELECT path, CAST(voltage AS INT) AS voltage, CAST(circuits AS INT) AS circuits, CAST(count(*) AS INT) AS parts, round(sum(length), 0) AS length_m FROM ({CHA}) c JOIN s ON c.id = s.id GROUP BY path, voltage, circuits""")
+def contract_lines(spark, d):
+    """Lines after contraction, with their length."""
+    none = spark.createDataFrame([], f"bus_id string, geometry {G.POLYGON}")
+    df = build.contracted(_chain(spark, d).select("line_id", "circuits", "voltage", "underground", "geometry"), none)
+    path = F.floor(ids.number(F.col("line_id")) / 7).alias("path")
+    return df.select(path, "voltage", "circuits", F.size("contains_lines").alias("parts"), F.round(G.length_m(F.col("geometry")), 0).alias("length_m"))
+
+
 _CORNERS = " UNION ALL ".join(f"SELECT id, {k} AS k, cx_u + {dx} * half_u AS x_u, cy_u + {dy} * half_u AS y_u FROM ({SUB})" for k, (dx, dy) in enumerate([(-1, -1), (1, -1), (1, 1), (-1, 1)]))
 
 
@@ -337,12 +410,25 @@ def _spurs(spark, d):
 _INSIDE = "least(s.x0_u, s.x1_u) >= t.cx_u - t.half_u AND greatest(s.x0_u, s.x1_u) <= t.cx_u + t.half_u AND least(s.y0_u, s.y1_u) >= t.cy_u - t.half_u AND greatest(s.y0_u, s.y1_u) <= t.cy_u + t.half_u"
 
 
-@query(f"SELECT DISTINCT s.id FROM ({SPU}) s JOIN ({SIT}) t ON {_INSIDE}")
+def _site_polygons(spark, d, where: str = "true"):
+    return lens.rows(spark, d, SIT).where(where).select(F.concat(F.lit("way/"), F.col("id").cast("string")).alias("bus_id"), F.array(lens.square()).alias("geometry"))
+
+
+@query(f"SELECT s.id FROM ({SPU}) s WHERE NOT EXISTS (SELECT 1 FROM ({SIT}) t WHERE {_INSIDE})")
 def lines_within_polygon(spark, d):
-    spur = _spurs(spark, d).withColumn("box", G.bounds(F.col("geometry")))
-    ring = _sites(spark, d).select("ring").withColumn("box2", G.bounds(F.col("ring")))
-    near = spatial.box_join(spur, ring, "box", "box2", 0.01)
-    return near.where(shapes.inside("geometry", F.array("ring"))).select("id").distinct()
+    """Lines but for those that run wholly within a polygon."""
+    df = _spurs(spark, d).withColumnRenamed("id", "line_id")
+    return clean.without_internal(df, _site_polygons(spark, d)).select(F.col("line_id").alias("id"))
+
+
+@query(f"""SELECT s.id, CASE WHEN s.id % 3 = 1 AND t.grp_type = 2 THEN 3 ELSE 2 END AS points, CASE WHEN s.id % 3 = 1 AND t.grp_type = 2 THEN t.cx_u ELSE s.x0_u END / 1e6 AS west, s.x1_u / 1e6 AS east,
+ CASE WHEN s.id % 3 = 1 AND t.grp_type = 2 THEN round((t.cx_u + 1000) / 1e6, 6) END AS edge FROM ({SPU}) s JOIN ({SIT}) t ON s.id = t.id""")
+def extended_lines(spark, d):
+    """Lines that end in a polygon, cut at its edge and led to its pole."""
+    df = _spurs(spark, d).withColumnRenamed("id", "line_id")
+    out = clean.extended_to_substations(df, _site_polygons(spark, d, "grp_type = 2"))
+    edge = F.when(F.size("geometry") == 3, F.round(F.col("geometry")[1]["lon"], 6))
+    return out.select(F.col("line_id").alias("id"), F.size("geometry").alias("points"), F.round(F.col("geometry")[0]["lon"], 6).alias("west"), F.round(F.element_at("geometry", -1)["lon"], 6).alias("east"), edge.alias("edge"))
 
 
 @query(f"""SELECT DISTINCT e.id, e.k AS endpoint, t.id AS site FROM ({_ENDS.format(SPU)}) e JOIN ({SIT}) t ON e.x_u >= t.cx_u - t.half_u AND e.x_u < t.cx_u + t.half_u AND e.y_u > t.cy_u - t.half_u AND e.y_u < t.cy_u + t.half_u
@@ -470,17 +556,22 @@ def linemerge(spark, d):
     return merged.select("path", F.size("m").alias("parts"), F.size(F.col("m")[0]).alias("points"))
 
 
-@query()
+@query(f"SELECT path, CAST(count(*) + 1 AS INT) AS before, CAST(floor((count(*) - 1) / 2) + 2 AS INT) AS after FROM ({CHA}) GROUP BY path")
 def simplify_lines(spark, d):
-    out = _bends(spark, d).select("path", F.size("geometry").alias("before"), shapes.simplified_m("geometry", F.lit(30.0)).alias("g"))
+    """Zigzags, of which every other place is on a straight part."""
+    df = _bends(spark, d).select("path", F.concat(F.transform("parts", lambda p: p[0]), F.array(F.element_at(F.element_at("parts", -1), -1))).alias("g"))
+    height = lambda i: F.when(i % 4 == 3, 1).otherwise(i % 4)
+    df = df.withColumn("g", F.transform("g", lambda p, i: F.struct(p["lon"].alias("lon"), (p["lat"] + 0.01 * height(i)).alias("lat"))))
+    out = df.select("path", F.size("g").alias("before"), shapes.simplified_m("g", F.lit(30.0)).alias("g"))
     return out.select("path", "before", F.size("g").alias("after"))
 
 
-@query(f"SELECT id, 5 AS points FROM ({SUB})")
+@query(f"SELECT id, 5 AS points, (cx_u - half_u) / 1e6 AS west, (cy_u + half_u) / 1e6 AS north FROM ({SUB})")
 def convex_hull(spark, d):
     """The hull of a square's corners and its middle."""
     df = lens.rows(spark, d, SUB)
-    return df.select("id", F.size(shapes.hull(F.concat(lens.square(), F.array(lens.at("cx_u", "cy_u"))))).alias("points"))
+    out = df.select("id", shapes.hull(F.concat(lens.square(), F.array(lens.at("cx_u", "cy_u")))).alias("g")).withColumn("box", G.bounds(F.col("g")))
+    return out.select("id", F.size("g").alias("points"), "box.west", "box.north")
 
 
 @query(f"SELECT id, cx_u / 1e6 AS lon, cy_u / 1e6 AS lat FROM ({SUB})")
@@ -522,14 +613,23 @@ def _network(spark, d) -> dict[str, DataFrame]:
     return build.built(subs, rings, df, C.Config(network=C.Network(station_merge_radius_m=60.0)))
 
 
-@query(f"""WITH t AS (SELECT path, circuits, count(*) AS n, min(id) AS a FROM ({CHA}) GROUP BY path, circuits)
-SELECT CAST(count(*) AS BIGINT) AS lines, CAST(sum(n) AS BIGINT) AS ways, CAST(sum(circuits) AS BIGINT) AS circuits FROM t""")
+_PIECES = f"SELECT path, voltage, circuits, count(*) AS n, min(x0_u) AS x0, max(x1_u) AS x1, min(y0_u) AS y FROM ({CHA}) GROUP BY path, voltage, circuits"
+
+
+@query(f"SELECT path, CAST(voltage // 1000 AS INT) AS voltage_kv, CAST(circuits AS INT) AS circuits, CAST(n AS INT) AS ways, x0 / 1e6 AS west, x1 / 1e6 AS east, y / 1e6 AS lat FROM ({_PIECES})")
 def build_network(spark, d):
-    """All of a network: its lines, the ways in them, and their circuits."""
-    found = _network(spark, d)["lines"]
-    return found.agg(F.count("*").alias("lines"), F.sum(F.size(F.split("osm_ids", ";"))).alias("ways"), F.sum("circuits").cast("bigint").alias("circuits"))
+    """The lines of a network with the places of the buses at both their ends."""
+    net = _network(spark, d)
+    bus = lambda i: net["buses"].select(F.col("bus_id").alias(f"bus{i}"), F.col("geometry").alias(f"_g{i}"))
+    df = net["lines"].join(bus(0), "bus0").join(bus(1), "bus1")
+    way = F.array_min(F.transform(F.split("osm_ids", ";"), lambda x: F.substring_index(x, "/", -1).cast("bigint")))
+    return df.select(
+        F.floor(way / 7).alias("path"), "voltage_kv", "circuits", F.size(F.split("osm_ids", ";")).alias("ways"),
+        F.round(F.least("_g0.lon", "_g1.lon"), 6).alias("west"), F.round(F.greatest("_g0.lon", "_g1.lon"), 6).alias("east"), F.round("_g0.lat", 6).alias("lat"),
+    )
 
 
-@query()
+@query(f"SELECT DISTINCT CAST(voltage // 1000 AS INT) AS voltage_kv, x / 1e6 AS lon, y / 1e6 AS lat FROM (SELECT voltage, x0 AS x, y FROM ({_PIECES}) UNION ALL SELECT voltage, x1, y FROM ({_PIECES}))")
 def network_buses(spark, d):
-    return _network(spark, d)["buses"].select("bus_id", "station_id", "voltage_kv", "osm_ids")
+    """A bus at each end of each line of a network."""
+    return _network(spark, d)["buses"].select("voltage_kv", F.round("geometry.lon", 6).alias("lon"), F.round("geometry.lat", 6).alias("lat"))

@@ -31,9 +31,9 @@ def _volts_int(df: DataFrame) -> DataFrame:
 
 
 def merged_polygons(ways: DataFrame) -> DataFrame:
-    """Adds rings: the outlines of all valid polygons that touch or overlap each row's, through others too. Invalid ones go.
+    """Adds rings: the outlines of the union of all valid polygons that touch or overlap each row's, through others too. Invalid ones go.
 
-    ways: a row for each part, geometry being the ring. Rings are kept side by side, not dissolved.
+    ways: a row for each part, geometry being the ring.
     """
     ways = ways.where(shapes.valid("geometry"))
     rings = ways.select(ids.base(F.col("id")).alias("way"), "geometry").dropDuplicates(["way"]).withColumn("box", G.bounds(F.col("geometry")))
@@ -43,6 +43,7 @@ def merged_polygons(ways: DataFrame) -> DataFrame:
     comp = graph.connected(touching)
     named = rings.join(comp.withColumnRenamed("id", "way"), "way", "left").select("way", "geometry", F.coalesce("component", "way").alias("component"))
     whole = named.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("way", "geometry"))), lambda x: x["geometry"]).alias("rings"))
+    whole = whole.withColumn("rings", F.when(F.size("rings") > 1, shapes.dissolved("rings")).otherwise(F.col("rings")))
     return ways.withColumn("way", ids.base(F.col("id"))).join(named.select("way", "component").join(whole, "component"), "way").drop("way", "component")
 
 

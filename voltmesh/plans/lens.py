@@ -47,9 +47,9 @@ KV = "SELECT p_partkey AS id, p_name AS name, CAST(p_size AS INT) * 10 AS voltag
 
 SITES = """SELECT c_custkey AS id, CAST(floor(c_custkey / 5) AS BIGINT) AS grp, CAST(floor(c_custkey / 5) AS BIGINT) % 3 AS grp_type,
  CASE c_custkey % 3 WHEN 0 THEN '380000;220000' WHEN 1 THEN '220 kV' ELSE '400 kV' END AS voltage,
- 4000000 + (CAST(floor(c_custkey / 5) AS BIGINT) % 20) * 200000
+ 4000000 + CAST(floor(c_custkey / 70000) AS BIGINT) * 4500000 + (CAST(floor(c_custkey / 5) AS BIGINT) % 20) * 200000
   + (c_custkey % 5) * CASE CAST(floor(c_custkey / 5) AS BIGINT) % 3 WHEN 0 THEN 1500 WHEN 1 THEN 4500 ELSE 20000 END AS cx_u,
- 50000000 + CAST(floor(c_custkey / 100) AS BIGINT) * 40000 AS cy_u,
+ 50000000 + CAST(floor(c_custkey / 100) AS BIGINT) % 700 * 40000 AS cy_u,
  1000 AS half_u
 FROM customer"""
 
@@ -63,11 +63,11 @@ CHAIN = """SELECT o_orderkey AS id, CAST(floor(o_orderkey / 7) AS BIGINT) AS pat
  CASE CAST(floor(o_orderkey / 7) AS BIGINT) % 3 WHEN 0 THEN 380000 WHEN 1 THEN 220000 ELSE 400000 END AS voltage,
  CASE WHEN CAST(floor(o_orderkey / 7) AS BIGINT) % 2 = 1 AND o_orderkey % 7 >= 3 THEN 2 ELSE 1 END AS circuits,
  o_orderkey % 7 = 2 AS underground,
- 4000000 + (o_orderkey % 7) * 3000 + (CAST(floor(o_orderkey / 7) AS BIGINT) % 50) * 30000 AS x0_u,
- 50000000 + CAST(floor(o_orderkey / 350) AS BIGINT) * 20000 AS y0_u,
- 4000000 + (o_orderkey % 7 + 1) * 3000 + (CAST(floor(o_orderkey / 7) AS BIGINT) % 50) * 30000 AS x1_u,
- 50000000 + CAST(floor(o_orderkey / 350) AS BIGINT) * 20000 AS y1_u
-FROM orders WHERE o_orderkey % 7 < 6"""
+ 4000000 + (o_orderkey % 7) * 3000 + (CAST(floor(o_orderkey / 7) AS BIGINT) % 50) * 30000 + CAST(floor(o_orderkey / 525000) AS BIGINT) * 1600000 AS x0_u,
+ 50000000 + CAST(floor(o_orderkey / 350) AS BIGINT) % 1500 * 20000 AS y0_u,
+ 4000000 + (o_orderkey % 7 + 1) * 3000 + (CAST(floor(o_orderkey / 7) AS BIGINT) % 50) * 30000 + CAST(floor(o_orderkey / 525000) AS BIGINT) * 1600000 AS x1_u,
+ 50000000 + CAST(floor(o_orderkey / 350) AS BIGINT) % 1500 * 20000 AS y1_u
+FROM orders"""
 
 ELEMENTS = """SELECT event_id AS id,
  CASE event_id % 7 WHEN 0 THEN 'line' WHEN 1 THEN 'cable' WHEN 2 THEN 'substation' WHEN 3 THEN 'construction' WHEN 4 THEN 'circuit' WHEN 5 THEN 'tower' END AS power,
