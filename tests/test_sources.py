@@ -2,7 +2,9 @@ import json
 import struct
 import zlib
 
-from voltmesh.sources import elements, overpass, pbf
+import pytest
+
+from voltmesh.sources import elements, overpass, pbf, sinks
 from voltmesh.streaming import features
 
 
@@ -56,6 +58,42 @@ def test_pbf_source_and_resolver(spark, tmp_path):
     assert len(tables["lines_way"].first().geometry) == 2 and len(tables["substations_relation"].first().members[0].geometry) == 2
 
 
+def test_tags_are_tested_before_rows_are_made(spark, tmp_path):
+    extract(tmp_path / "x.pbf")
+    spark.dataSource.register(pbf.OsmPbf)
+    read = lambda **o: sorted((r.type, r.id) for r in spark.read.format("osm_pbf").options(**o).load(str(tmp_path / "x.pbf")).collect())
+    assert read() == [("node", 5), ("node", 7), ("relation", 9), ("way", 3)]
+    assert read(kind="node") == [("node", 5), ("node", 7)] and read(kind="node", features="true") == [("node", 7)]
+    assert read(features="true") == [("node", 7), ("relation", 9), ("way", 3)]
+    (block,) = (pbf.blob_bytes((tmp_path / "x.pbf").read_bytes()[at : at + size]) for _, at, size in pbf.blocks(str(tmp_path / "x.pbf")))
+    assert list(pbf.block_rows(block, chosen=frozenset([("railway", "rail")]))) == []
+
+
+def test_stored_elements_read_as_their_files(spark, tmp_path):
+    rows = [{"type": "way", "id": i, "tags": {"power": "line"}, "geometry": [{"lon": 1.0 * i, "lat": 2.0}, {"lon": 3.0, "lat": 4.0}]} for i in range(20)]
+    (tmp_path / "PT_lines_way.json").write_text(json.dumps({"elements": rows}))
+    files = [str(tmp_path / "PT_lines_way.json")]
+    folder = elements.store_elements(spark, files, str(tmp_path / "pt.elements"))
+    plain, stored = (elements.lines_and_cables(spark, x, []).orderBy("_row").collect() for x in (files, [folder]))
+    assert plain == stored and len(stored) == 20 and elements.elements(spark, [folder], "node").count() == 0
+    both = elements.elements(spark, [folder, *files], "way")
+    assert both.count() == 40
+    with pytest.raises(ValueError):
+        elements.store_elements(spark, files, str(tmp_path / "pt"))
+
+
+def test_large_tables_are_refused_by_single_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from voltmesh.functions import geometry as G
+
+    df = spark.range(5).select("id", G.point(F.lit(1.0), F.lit(2.0)).alias("geometry"))
+    with pytest.raises(ValueError):
+        sinks.write_geojson(df, str(tmp_path / "x.geojson"), most=4)
+    sinks.write_geojson(df, str(tmp_path / "x.geojson"), most=5)
+    assert len(json.loads((tmp_path / "x.geojson").read_text())["features"]) == 5
+
+
 def test_overpass_queries_and_answers():
     assert len(overpass.FEATURES) == 6 and 'way["power"="cable"](area.searchArea);' in overpass.query("BE", "cables_way", 60)
     node = {"type": "node", "id": 1, "lat": 50.0, "lon": 4.0}

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df without its lineage, through the checkpoint folder that all executors share."""
+    """df without its lineage, through the checkpoint folder that all executors share; a local one only where the master is local."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         given = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not given and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(given or "file://" + tempfile.mkdtemp(prefix="voltmesh-"))
     return df.checkpoint(eager=True)
 

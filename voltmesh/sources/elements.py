@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltmesh import rules, schemas
@@ -19,17 +19,43 @@ def elements(spark: SparkSession, paths: list[str] | str, kind: str) -> DataFram
     """Elements of one type from payload files {"elements": [...]}, one file for each country and feature.
 
     id is the type and number; country is the file's name up to its first underscore; files
-    under 20 bytes hold none. _row orders rows by file and position.
+    under 20 bytes hold none. _row orders rows by file and position. A file is one JSON value, which
+    one task reads whole; folders that store_elements() wrote are read by many.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    stored = [p for p in paths if p.endswith(STORED)]
+    paths = [p for p in paths if not p.endswith(STORED)]
+    if stored:
+        rows = spark.read.schema(_stored()).parquet(*stored).where(F.col("type") == kind).drop("type")
+        return rows.unionByName(elements(spark, paths, kind)) if paths else rows
     if not paths:
-        return spark.createDataFrame([], f"id string, osm_id bigint, country string, tags map<string,string>, geometry {G.LINE}, members {_members()}, _row string")
+        return spark.createDataFrame([], _stored()).drop("type")
+    return _read(spark, paths).where(F.col("type") == kind).drop("type")
+
+
+#: Names of the folders of store_elements() end so.
+STORED = ".elements"
+
+
+def _stored() -> str:
+    return f"type string, id string, osm_id bigint, country string, tags map<string,string>, geometry {G.LINE}, members {_members()}, _row string"
+
+
+def store_elements(spark: SparkSession, paths: list[str], folder: str) -> str:
+    """Payload files as Parquet in a folder, once, so that later reads are split and read only the columns they need; returns the folder."""
+    if not folder.endswith(STORED):
+        raise ValueError(f"the folder's name must end in {STORED}")
+    _read(spark, paths).write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
     raw = spark.read.schema(schemas.PAYLOAD).option("multiLine", True).json(paths)
     rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_size").alias("_size")).where(F.col("_size") >= LEAST_BYTES)
-    rows = rows.select("_file", F.posexplode("elements").alias("_at", "e")).where(F.col("e.type") == kind)
+    rows = rows.select("_file", F.posexplode("elements").alias("_at", "e"))
     points = F.when((F.col("e.type") == "node") & F.col("e.geometry").isNull() & F.col("e.lat").isNotNull(), F.array(G.point(F.col("e.lon"), F.col("e.lat")))).otherwise(F.col("e.geometry"))
     return rows.select(
-        F.concat(F.col("e.type"), F.lit("/"), F.col("e.id").cast("string")).alias("id"), F.col("e.id").alias("osm_id"),
+        F.col("e.type").alias("type"), F.concat(F.col("e.type"), F.lit("/"), F.col("e.id").cast("string")).alias("id"), F.col("e.id").alias("osm_id"),
         F.element_at(F.split("_file", "_"), 1).alias("country"), F.col("e.tags").alias("tags"), points.alias("geometry"),
         F.col("e.members").alias("members"), F.concat("_file", F.lit(":"), F.lpad(F.col("_at").cast("string"), 12, "0")).alias("_row"),
     )
@@ -131,13 +157,3 @@ def payloads(resolved_elements: DataFrame) -> dict[str, DataFrame]:
         "substations_relation": of("relation", kind == "substation"),
         "routes_relation": of("relation", tags.is_route(t["power"], t["route"], t["construction:power"])),
     }
-
-
-def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """_row from an order of columns that no two rows share, as one string."""
-    return df.withColumn("_row", F.concat_ws(":", *(F.lpad(F.col(c).cast("string"), 20, "0") for c in order)))
-
-
-def latest(df: DataFrame, key: str) -> DataFrame:
-    """One row for each key, the first by _row."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("_row"))).where("_n = 1").drop("_n")

@@ -10,8 +10,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from voltmesh import rules
+
 SCHEMA = "type string, id bigint, tags map<string,string>, lat double, lon double, refs array<bigint>, members array<struct<type:string,ref:bigint,role:string>>"
 
 
@@ -69,8 +72,24 @@ def _tags(keys: list[int], values: list[int], strings: list[str]) -> dict[str, s
     return {strings[k]: strings[v] for k, v in zip(keys, values, strict=True)}
 
 
-def block_rows(block: bytes) -> Iterator[tuple]:
-    """Rows of one decompressed PrimitiveBlock, in SCHEMA's order."""
+#: Tags of which an element has one if it is a feature or groups features.
+FEATURE_TAGS = frozenset(
+    [(key, value) for key in ("power", "construction:power") for value in rules.FEATURES] + [("power", "construction"), ("power", "circuit"), ("route", "power")]
+)
+GROUPS = {"node": (1, 2), "way": (3,), "relation": (4,)}
+
+
+def block_rows(block: bytes, kind: str | None = None, chosen: frozenset[tuple[str, str]] | None = None) -> Iterator[tuple]:
+    """Rows of one decompressed PrimitiveBlock, in SCHEMA's order.
+
+    kind: only elements of this type; groups of others are not decoded. chosen: only elements
+    with one of these tags; a block whose strings hold none of them is not decoded.
+    """
+    rows = _block_rows(block, GROUPS[kind] if kind else (1, 2, 3, 4), chosen)
+    return rows if chosen is None else (r for r in rows if not chosen.isdisjoint(r[2].items()))
+
+
+def _block_rows(block: bytes, groups_of: tuple[int, ...], chosen: frozenset[tuple[str, str]] | None) -> Iterator[tuple]:
     strings: list[str] = []
     groups, granularity, lat0, lon0 = [], 100, 0, 0
     for n, v in fields(block):
@@ -85,8 +104,13 @@ def block_rows(block: bytes) -> Iterator[tuple]:
         elif n == 20:
             lon0 = v - (1 << 64) if v >> 63 else v
     place = lambda lat, lon: ((lat0 + granularity * lat) * 1e-9, (lon0 + granularity * lon) * 1e-9)
+    known = set(strings)
+    if chosen is not None and not any(k in known and v in known for k, v in chosen):
+        return
     for group in groups:
         for n, v in fields(group):
+            if n not in groups_of:
+                continue
             got: dict[int, list] = {}
             for k, x in fields(v):
                 got.setdefault(k, []).append(x)
@@ -139,6 +163,7 @@ class _Block(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.per_task = options["path"], int(options.get("blocks_per_task", "16"))
+        self.kind, self.chosen = options.get("kind"), FEATURE_TAGS if options.get("features", "false") == "true" else None
 
     def partitions(self) -> list[InputPartition]:
         spans = [(at, size) for kind, at, size in blocks(self.path) if kind == "OSMData"]
@@ -148,11 +173,12 @@ class _Reader(DataSourceReader):
         with open(partition.path, "rb") as f:
             for at, size in partition.spans:
                 f.seek(at)
-                yield from block_rows(blob_bytes(f.read(size)))
+                yield from block_rows(blob_bytes(f.read(size)), self.kind, self.chosen)
 
 
 class OsmPbf(DataSource):
-    """Register with spark.dataSource.register(OsmPbf). Option blocks_per_task: blocks that one task decodes, 16.
+    """Register with spark.dataSource.register(OsmPbf). Options: blocks_per_task, blocks that one task decodes, 16;
+    kind, the one type of element to decode; features, true for elements with a tag of power features only.
 
     The file must be on a path that all executors can open.
     """
@@ -173,9 +199,15 @@ def retrieved(spark, path: str, include_relations: bool = True):
     from voltmesh.sources import elements
 
     spark.dataSource.register(OsmPbf)
-    raw = spark.read.format("osm_pbf").load(path)
-    of = lambda kind, *columns: raw.where(raw["type"] == kind).select("id", *columns, "tags")
-    tables = elements.payloads(elements.resolved(of("node", "lat", "lon"), of("way", "refs"), of("relation", "members")))
+    scan = lambda kind, columns, only: spark.read.format("osm_pbf").option("kind", kind).option("features", str(only).lower()).load(path).select("id", *columns)
+    # Tags are tested before rows are made; what features refer to is joined by id from scans of one type each.
+    relations = scan("relation", ("members", "tags"), True)
+    member = relations.select(F.explode("members").alias("m")).where("m.type = 'way'").select(F.col("m.ref").alias("id")).distinct()
+    featured = scan("way", ("refs", "tags"), True)
+    ways = featured.unionByName(scan("way", ("refs", "tags"), False).join(member, "id", "left_semi").join(featured.select("id"), "id", "left_anti"))
+    stations = scan("node", ("lat", "lon", "tags"), True)
+    nodes = stations.unionByName(scan("node", ("lat", "lon", "tags"), False).join(ways.select(F.explode("refs").alias("id")).distinct(), "id", "left_semi").join(stations.select("id"), "id", "left_anti"))
+    tables = elements.payloads(elements.resolved(nodes, ways, relations))
     if not include_relations:
         tables["routes_relation"] = tables["routes_relation"].limit(0)
     return tables

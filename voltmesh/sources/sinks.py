@@ -49,11 +49,23 @@ def write_geojson_lines(df: DataFrame, path: str) -> None:
     features(df).write.mode("overwrite").text(path)
 
 
-def write_geojson(df: DataFrame, path: str) -> None:
-    """One FeatureCollection file; rows stream through the driver, a partition at a time, so use it for maps only."""
+#: Rows that one file, or a page, made on the driver may hold.
+MOST_ROWS = 2_000_000
+
+
+def held(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """df, if the driver may write it to one file; larger tables are refused."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows: use write_geojson_lines(), whose files the tasks write")
+    return df
+
+
+def write_geojson(df: DataFrame, path: str, most: int = MOST_ROWS) -> None:
+    """One FeatureCollection file of at most most rows, which stream through the driver, a partition at a time."""
+    rows = features(held(df, most)).toLocalIterator()
     with Path(path).open("w", encoding="utf-8") as out:
         out.write('{"type":"FeatureCollection","features":[')
-        for i, row in enumerate(features(df).toLocalIterator()):
+        for i, row in enumerate(rows):
             out.write("," * (i > 0) + "\n" + row["feature"])
         out.write("\n]}\n")
 
