@@ -15,8 +15,8 @@ from voltmesh.llm.shards import assign_shards, scheduled
 ODD = ["", "a<|endoftext|>b C'S don't", "İSTANBUL Σας ΣΑΣ", "é café ﬁ ½ ² x²³ 123", "日本語 テスト 🙂🙂 x", "\x1c a\x1f b\x85c\xa0d", "<|startoftext|><|endoftext|>", "à̖", "—dash’s €5"]
 
 
-@pytest.mark.parametrize("block_chars", [8_000_000, 200])
-def test_words_encode_as_the_library_does(spark, block_chars):
+@pytest.mark.parametrize(("block_chars", "held"), [(8_000_000, 1000), (200, 60), (300, 0)])
+def test_words_encode_as_the_library_does(spark, block_chars, held):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(vocabulary())
@@ -25,7 +25,7 @@ def test_words_encode_as_the_library_does(spark, block_chars):
     texts = ODD + ["".join(rng.choice(pool) for _ in range(30)) for _ in range(300)] + ["word " * 50_000, None]
     rows = [(i, t, "clash") for i, t in enumerate(texts)] + [(0, "", "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
-    got = encode_documents(df, vocabulary(), with_ids=True, block_chars=block_chars)
+    got = encode_documents(df, vocabulary(), with_ids=True, block_chars=block_chars, held=held)
     back = {r.doc_id: r.text for r in decoded(got.dropDuplicates(["doc_id"]), vocabulary(), "doc_id").collect()}
     got = got.collect()
     assert len(got) == len(rows)

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from voltmesh.llm.shared import settle
 
 #: Characters of a block's texts from which it ends; one longer text is a block of its own.
-BLOCK_CHARS = 8_000_000
-#: A word in more than one block of COMMON is broadcast: at most COMMON times the distinct words of a block.
-COMMON = 8
+BLOCK_CHARS = 16_000_000
+#: Words that are broadcast at most, those in the most blocks: about 30 MB in a task.
+HELD = 300_000
 #: A vocabulary with more pieces than this is not broadcast.
 BROADCAST_PIECES = 2_000_000
 
@@ -177,21 +177,23 @@ def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
     return spark.createDataFrame(found, "id int, piece string")
 
 
+def _known_pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
+    known = pieces(spark, vocabulary)
+    return F.broadcast(known) if known.count() <= BROADCAST_PIECES else known
+
+
 def decoded(table: DataFrame, vocabulary: str, key: str, ids: str = "ids") -> DataFrame:
-    """Adds text to a table with unique keys and arrays of ids: the pieces of the ids with a space between, as the vocabulary has no decoder of its own.
+    """(key, ids, text) of a table with unique keys and arrays of ids: the pieces of the ids with a space between, as the vocabulary has no decoder of its own.
 
-    Each distinct id of a row is joined with the table of pieces; null arrays and those without a known id give empty texts.
+    Each id is joined with the table of pieces and put back in its place; null and empty arrays, and unknown ids, give no text.
     """
-    known = pieces(table.sparkSession, vocabulary)
-    if known.count() <= BROADCAST_PIECES:
-        known = F.broadcast(known)
-    met = table.select(key, F.explode(F.array_distinct(ids)).alias("id")).join(known, "id")
-    found = met.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("id", "piece"))).alias("_known"))
-    text = F.array_join(F.transform(ids, lambda i: F.element_at("_known", i)), " ")
-    return table.join(found, key, "left").withColumn("text", F.coalesce(F.when(F.col("_known").isNotNull(), text), F.lit(""))).drop("_known")
+    known = _known_pieces(table.sparkSession, vocabulary)
+    met = table.select(key, F.posexplode_outer(ids).alias("at", "id")).join(known, "id", "left")
+    found = met.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "id", "piece")))).alias("_p"))
+    return found.select(key, F.transform("_p", lambda x: x["id"]).alias(ids), F.array_join(F.transform("_p", lambda x: x["piece"]), " ").alias("text"))
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, block_chars: int = BLOCK_CHARS, common: int = COMMON) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, block_chars: int = BLOCK_CHARS, held: int = HELD) -> DataFrame:
     """Each row of docs to (id_col, n_tokens, ids_sha256, decoded_sha256[, ids]).
 
     One row for each input row, repeats included; a null text counts as empty and has no
@@ -204,9 +206,12 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     n_blocks = blocks.count()
 
     # Each distinct word once, encoded, and decoded through the pieces of its ids.
-    counted = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks"))
-    words = settle(decoded(settle(encoded_words(counted, vocabulary), "bpe-ids"), vocabulary, "word"), "bpe-words")
-    often = words.where(F.col("blocks") * common > max(n_blocks, common)).select("word", "ids", "text").toArrow()
+    counted = settle(blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks")), "bpe-counted")
+    words = settle(decoded(encoded_words(counted.select("word"), vocabulary), vocabulary, "word"), "bpe-words")
+    by_n = counted.groupBy("blocks").agg(F.count("*").alias("n")).orderBy(F.desc("blocks")).toPandas()
+    fit = int((by_n["n"].cumsum() <= held).sum())
+    least = int(by_n["blocks"][fit - 1]) if fit else n_blocks + 1
+    often = words.join(counted.where(F.col("blocks") >= max(2, least)).select("word"), "word", "left_semi").toArrow()
     shared = spark.sparkContext.broadcast({w: (np.array(i, "<u4").tobytes(), t) for w, i, t in zip(*(often.column(x).to_pylist() for x in ("word", "ids", "text")), strict=True)})
 
     # Others are joined by word, then gathered by block: as many as the block has distinct words.
@@ -216,7 +221,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 at = [(i, w) for i, w in enumerate(listed.as_py()) if w not in shared.value]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(at), pa.int64()), pa.array([i for i, _ in at], pa.int32()), pa.array([w for _, w in at], pa.string())], names=["block", "at", "word"])
 
-    found = blocks.select("block", "words").mapInArrow(scarce, "block long, at int, word string").join(words.select("word", "ids", "text"), "word")
+    found = blocks.select("block", "words").mapInArrow(scarce, "block long, at int, word string").join(words, "word")
     n = max(1, min(n_blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 16)))
     found = found.select("block", F.struct("at", "ids", "text").alias("w")).repartition(n, "block").groupBy("block").agg(F.collect_list("w").alias("found"))
     whole = blocks.repartition(n, "block").join(found, "block", "left")
