@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from voltmesh.llm.bpe import Words, decoded, encode_documents
-from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report
+from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report, read_templates
 from voltmesh.llm.queries import vocabulary
 from voltmesh.llm.shards import assign_shards, scheduled
 
@@ -70,6 +70,48 @@ def test_all_licences_of_a_block_are_found():
     assert sum(found(f"{long} {changed} {long}")["MIT notice"]) > 0
 
 
+def test_variants_are_told_apart():
+    scanner = Scanner(TEMPLATES, LicenseParams())
+    found = lambda text: {x[1] for x in scanner.scan(text)}
+    assert found("Copyright 2020 Someone\n\n" + TEMPLATES["BSD-3-Clause text"]) == {"BSD", "BSD-3-Clause text"}
+    assert found(TEMPLATES["BSD-2-Clause text"]) == {"BSD", "BSD-2-Clause text"}
+    assert found(TEMPLATES["MIT text"]) == {"MIT notice", "MIT text"} and "MIT text" not in found(TEMPLATES["MIT-0 text"])
+    assert "ISC text" in found(TEMPLATES["ISC text"]) and "ISC" not in found(TEMPLATES["0BSD text"])
+    assert found(TEMPLATES["CC-BY-NC-SA-4.0 deed"]) == {"CC-BY-NC-SA-4.0 deed"}
+
+
+def plain_matches(text, templates, missing=0.1):
+    """Templates whose words stand in the text one after the other, by comparing every stretch of the text of their length."""
+    import re
+
+    words = lambda t: [w.lower() for w in re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", t)]
+    mine = words(text)
+    return {n for n, t in templates.items() for w in [words(t)] if any(mine[a : a + len(w)] == w for a in range(len(mine) - len(w) + 1))}
+
+
+def test_documents_against_plain_matches(spark):
+    """Every exact wording in the documents is found; what else is found differs from its template in some words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r.found for r in find_licenses(docs).collect()}
+    n = 0
+    for r in docs.collect():
+        exact = {x.license for x in got[r.doc_id] if x.missing + x.added == 0}
+        assert plain_matches(r.text or "", TEMPLATES) == exact
+        n += len(exact)
+    assert n > 5
+
+
+def test_licences_in_odd_rows(spark, tmp_path):
+    (tmp_path / "Own").write_text("You may license this text to all who can read it and to nobody else at all.")
+    own = read_templates(tmp_path)
+    long = "plain words and nothing more. " * 40_000
+    rows = [(1, long + TEMPLATES["Apache-2.0 notice"] + long), (2, f"{TEMPLATES['MIT']} {TEMPLATES['MIT']}"), (3, own["Own"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [x.license for x in r.found] for r in find_licenses(df, TEMPLATES | own).collect()}
+    assert got == {1: ["Apache-2.0 notice", "Apache-2.0"], 2: ["MIT"], 3: ["Own"]}
+    assert find_licenses(df.limit(0)).collect() == []
+
+
 def test_shards_keep_groups_and_balance(spark):
     rng = random.Random(3)
     rows = [(i, "z" * rng.randint(1, 400)) for i in range(1500)] + [(2000 + i, "hot" * 20) for i in range(700)] + [(5000, None), (5001, ""), (5002, "é"), (5002, "é")]
