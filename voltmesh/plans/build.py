@@ -113,7 +113,7 @@ def stations(members: DataFrame, radius_m: float) -> DataFrame:
         i = int(np.argmax([sum(K.ring_area(r) for r in x) for x in wide]))
         outline = K.united([r for x in wide for r in x])
         rings = [s for s in parts[i] if len(s) > 3]
-        poi = K.pole(max(rings or outline, key=K.ring_area), radius_m / 500 if rings else radius_m / 100)
+        poi = K.pole(max(rings or outline, key=K.ring_area), radius_m / 2)
         row = {
             "component": rows[0]["component"], "name": rows[i]["member"], "poi": as_points(K.to_degrees(poi[None]))[0],
             "shapes": [as_points(K.to_degrees(s)) for x in parts for s in x], "geometry": [as_points(K.to_degrees(r)) for r in outline],
