@@ -87,7 +87,7 @@ def pathway_offsets(df: DataFrame, column: str = "geometry", shift: float = 0.00
     """Lines of circuit_rows() side by side: each moved by its place among the circuits, fading out towards both ends.
 
     shift and taper are in degrees; the taper is at most 0.45 of the line's length, and corners
-    are mitred by at most four times the shift.
+    are mitred by at most four times the shift. A column of several parts gives each part's offset.
     """
 
     def moved(line, index, count):
@@ -116,6 +116,9 @@ def pathway_offsets(df: DataFrame, column: str = "geometry", shift: float = 0.00
         fade = np.clip(np.minimum(at, total - at) / t, 0, 1)
         return as_points((q + m * (by * far * fade)[:, None]) / scale)
 
+    if df.schema[column].dataType == DataType.fromDDL(LINES):
+        parts = lambda lines, index, count: [moved(x, index, count) for x in lines]
+        return df.withColumn("offset_path", kernel(parts, LINES)(column, "circuit_index", "circuit_count"))
     return df.withColumn("offset_path", kernel(moved, G.LINE)(column, "circuit_index", "circuit_count"))
 
 
