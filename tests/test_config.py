@@ -94,3 +94,13 @@ def test_written_files(tmp_path):
     assert C.validated(C.write_defaults(tmp_path / "c.yaml")) == C.Config()
     text = str(C.write_schema(tmp_path / "s.json"))
     assert "$ref" not in text and "title" not in text
+
+
+def test_messages_go_to_a_file(tmp_path):
+    from voltmesh.plans import logs
+
+    for _ in range(2):
+        logs.configured("warning", tmp_path / "a" / "run.log").warning("three lines dropped")
+    logs.configured().info("console")
+    text = (tmp_path / "a" / "run.log").read_text()
+    assert text.count("WARNING voltmesh: three lines dropped") == 2 and "console" not in text
