@@ -118,3 +118,19 @@ def test_dilated_shapes():
     assert abs(K.ring_area(disc) - 25 * math.pi) < 0.2
     two = K.united(K.dilated(line((0, 0)), 5.0) + K.dilated(line((6, 0)), 5.0))
     assert len(two) == 1 and np.allclose(K.pole(two[0], 0.01)[1], 0, atol=0.2)
+
+
+def test_columns_of_shapes_keep_their_rows():
+    import pyarrow as pa
+
+    from voltmesh.operators import shapes
+
+    point = pa.struct([("lon", pa.float64()), ("lat", pa.float64())])
+    at = lambda *p: [{"lon": float(x), "lat": float(y)} for x, y in p]
+    lines = [at((1, 2), (3, 4)), None, [], at((5, 6))]
+    parts = [[at((1, 2)), at((3, 4), (5, 6))], None, [], [[], at((7, 8))]]
+    for rows, kind in ((lines, pa.list_(point)), (parts, pa.list_(pa.list_(point)))):
+        whole = pa.array(rows, kind)
+        assert shapes._column(shapes._rows(whole), kind).to_pylist() == rows
+        assert shapes._column(shapes._rows(whole.slice(1, 3)), kind).to_pylist() == rows[1:]
+        assert shapes._column([], kind).to_pylist() == []

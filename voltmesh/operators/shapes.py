@@ -13,13 +13,48 @@ from pyspark.sql.types import DataType
 
 from voltmesh.functions import geometry as G
 from voltmesh.functions import kernels as K
-from voltmesh.sources.elements import as_array, as_points
 
 LINES = f"array<{G.LINE}>"
 
 
+def _points(values: pa.Array) -> np.ndarray:
+    """An Arrow array of points as an (n, 2) array."""
+    return np.stack([values.field(i).to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for i in range(2)], 1)
+
+
+def _rows(values: pa.Array) -> list:
+    """The rows of an Arrow array: lines as (n, 2) arrays, lists of lines as lists of such, cut from one flat array of points; nulls as None."""
+    kind, depth = values.type, 0
+    while pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        kind, depth = kind.value_type, depth + 1
+    if not depth or not pa.types.is_struct(kind) or [f.name for f in kind] != ["lon", "lat"]:
+        return values.to_pylist()
+    ends, valid = values.offsets.to_numpy(), values.is_valid().to_numpy(zero_copy_only=False)
+    inner = values.values
+    cut = _points(inner) if depth == 1 else _rows(inner)
+    return [cut[a:b] if ok else None for a, b, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), valid.tolist(), strict=True)]
+
+
+def _column(rows: list, kind: pa.DataType) -> pa.Array:
+    """Rows as _rows() gives them as an Arrow array of a type."""
+    if not pa.types.is_list(kind):
+        return pa.array(rows, kind)
+    sizes = [0 if r is None else len(r) for r in rows]
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    if pa.types.is_list(kind.value_type):
+        values = _column([x for r in rows if r is not None for x in r], kind.value_type)
+    else:
+        flat = np.concatenate([np.empty((0, 2)), *(r for r in rows if r is not None and len(r))])
+        values = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(kind.value_type))
+    return pa.ListArray.from_arrays(offsets, values, type=kind, mask=missing)
+
+
 def kernel(f: Callable, returns: str):
-    """An Arrow UDF that applies f to the values of its columns, a row at a time; rows with a null argument give null."""
+    """An Arrow UDF that applies f to the values of its columns; rows with a null argument give null.
+
+    Shapes reach f, and leave it, as numpy arrays that are cut from and put into whole columns of coordinates; no point becomes an object.
+    """
     n = f.__code__.co_argcount
 
     def apply(*columns: Column | str) -> Column:
@@ -27,8 +62,8 @@ def kernel(f: Callable, returns: str):
         kind = to_arrow_type(DataType.fromDDL(returns))
 
         def run(*arrays: pa.Array) -> pa.Array:
-            rows = zip(*(x.to_pylist() for x in arrays), strict=True)
-            return pa.array([None if any(x is None for x in row) else f(*row) for row in rows], kind)
+            rows = zip(*map(_rows, arrays), strict=True)
+            return _column([None if any(x is None for x in row) else f(*row) for row in rows], kind)
 
         chosen = {1: lambda a: run(a), 2: lambda a, b: run(a, b), 3: lambda a, b, c: run(a, b, c)}[n]
         chosen.__annotations__ = dict.fromkeys("abc"[:n], pa.Array) | {"return": pa.Array}
@@ -37,25 +72,17 @@ def kernel(f: Callable, returns: str):
     return apply
 
 
-def _shape(x) -> np.ndarray:
-    return as_array(x)
-
-
-def _many(x) -> list[np.ndarray]:
-    return [as_array(p) for p in x]
-
-
-merged = kernel(lambda parts: [as_points(p) for p in K.merged_lines(_many(parts))], LINES)
-hull = kernel(lambda line: as_points(K.convex_hull(_shape(line))), G.LINE)
-dissolved = kernel(lambda rings: [as_points(r) for r in K.united(_many(rings))], G.POLYGON)
-valid = kernel(lambda ring: bool(K.is_valid(_shape(ring))), "boolean")
-_pole = kernel(lambda ring, tol: as_points(K.pole(_shape(ring), tol)[None]), G.LINE)
-split = kernel(lambda line, points: [as_points(p) for p in K.split_at(_shape(line), list(_shape(points)))], LINES)
-clipped = kernel(lambda line, rings: [as_points(p) for p in K.outside(_shape(line), (_many(rings), 0.0))], LINES)
-inside = kernel(lambda line, rings: bool(K.within(_shape(line), (_many(rings), 0.0))), "boolean")
-meets = kernel(lambda line, rings: bool(K.intersects(_shape(line), (_many(rings), 0.0))), "boolean")
-apart_m = kernel(lambda a, b: float(K.gap(K.to_metric(_shape(a)), K.to_metric(_shape(b)))), "double")
-simplified_m = kernel(lambda line, tol: as_points(K.to_degrees(K.simplified(K.to_metric(_shape(line)), tol))), G.LINE)
+merged = kernel(lambda parts: K.merged_lines(parts), LINES)
+hull = kernel(lambda line: K.convex_hull(line), G.LINE)
+dissolved = kernel(lambda rings: K.united(rings), G.POLYGON)
+valid = kernel(lambda ring: bool(K.is_valid(ring)), "boolean")
+_pole = kernel(lambda ring, tol: K.pole(ring, tol)[None], G.LINE)
+split = kernel(lambda line, points: K.split_at(line, list(points)), LINES)
+clipped = kernel(lambda line, rings: K.outside(line, (rings, 0.0)), LINES)
+inside = kernel(lambda line, rings: bool(K.within(line, (rings, 0.0))), "boolean")
+meets = kernel(lambda line, rings: bool(K.intersects(line, (rings, 0.0))), "boolean")
+apart_m = kernel(lambda a, b: float(K.gap(K.to_metric(a), K.to_metric(b))), "double")
+simplified_m = kernel(lambda line, tol: K.to_degrees(K.simplified(K.to_metric(line), tol)), G.LINE)
 
 
 def pole(ring: Column | str, tolerance: Column) -> Column:
@@ -91,10 +118,10 @@ def pathway_offsets(df: DataFrame, column: str = "geometry", shift: float = 0.00
     """
 
     def moved(line, index, count):
-        p = as_array(line)
+        p = line
         by = (index - (count - 1) / 2) * shift
         if by == 0 or len(p) < 2:
-            return as_points(p)
+            return p
         total = K.length(p)
         t = min(taper, 0.45 * total)
         at = np.concatenate([[0], np.cumsum(np.hypot(*np.diff(p, axis=0).T))])
@@ -114,7 +141,7 @@ def pathway_offsets(df: DataFrame, column: str = "geometry", shift: float = 0.00
         m = np.where(size[:, None] > 1e-12, m / np.maximum(size, 1e-300)[:, None], before)
         far = np.minimum(4.0, 1 / np.maximum(np.abs((m * after).sum(1)), 1e-9))
         fade = np.clip(np.minimum(at, total - at) / t, 0, 1)
-        return as_points((q + m * (by * far * fade)[:, None]) / scale)
+        return (q + m * (by * far * fade)[:, None]) / scale
 
     if df.schema[column].dataType == DataType.fromDDL(LINES):
         parts = lambda lines, index, count: [moved(x, index, count) for x in lines]

@@ -163,15 +163,15 @@ def connected_lines(df: DataFrame, ends: DataFrame, members: DataFrame, places:
     df = df.where("bus0 <> bus1")
 
     def cut(line, s0, s1):
-        m = K.to_metric(as_array(line))
-        regions = [([K.to_metric(as_array(s)) for s in x], radius_m) for x in (s0, s1)]
+        m = K.to_metric(line)
+        regions = [([K.to_metric(s) for s in x], radius_m) for x in (s0, s1)]
         parts = [q for p in K.outside(m, regions[0]) for q in K.outside(p, regions[1])]
         if len(parts) > 1:
             parts = K.without_loops(parts)
             wide = [(rings, radius_m + 1e-2) for rings, _ in regions]
             both = [p for p in parts if all(K.intersects(p, r) for r in wide)]
             parts = both[:1] if both else parts
-        return [as_points(K.to_degrees(p)) for p in parts]
+        return [K.to_degrees(p) for p in parts]
 
     parts = shapes.kernel(cut, shapes.LINES)("geometry", "_s0", "_s1")
     df = df.withColumn("_parts", parts).where(F.size("_parts") == 1)
