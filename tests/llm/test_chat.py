@@ -42,5 +42,17 @@ def test_folds_deltas_edits_and_regenerations(spark):
     assert [tuple(x) for x in r.t] == [("user", "hello"), ("assistant", "Good day"), ("user", "")] and r.l == "Good day"
 
 
+def test_long_conversations_and_the_planted_rows(spark, tmp_path):
+    from voltmesh.llm.queries import op4_chat
+
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "none" / "conversations.parquet"))
+    (only,) = op4_chat(spark, str(tmp_path / "none")).collect()
+    assert only.conv_id == -7 and (only.n_turns, only.turns_sha256, only.loss_chars, only.loss_sha256) == expected([("user", BAD), ("assistant", BAD)])
+    turns = [("user" if i % 2 else "assistant", f"turn {i} <s> " * 20) for i in range(3000)]
+    spark.createDataFrame([(9, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "long" / "conversations.parquet"))
+    got = {r.conv_id: r for r in op4_chat(spark, str(tmp_path / "long")).collect()}[9]
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == expected(turns)
+
+
 def test_empty_log(spark):
     assert format_chats(spark.createDataFrame([], "conv_id long, seq long, message long, kind string, role string, text string")).collect() == []

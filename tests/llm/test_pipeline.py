@@ -44,6 +44,48 @@ def test_stages_against_brute_force(spark, docs):
     assert all(len(r.ids) == r.n_tokens for r in end.values())
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null ids, texts and languages, repeated rows, shared ids, a clashing column, copies and leaks; then no rows at all."""
+    import random
+
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    prose = [" ".join(rng.choice("the cat and dog sat on mats near tall trees while seven birds sang old songs about rivers".split()) for _ in range(60)) for _ in range(40)]
+    item = " ".join(f"question{i}" for i in range(12))
+    rows = [(i, t, "en", "web", len(t)) for i, t in enumerate(prose)]
+    rows += [rows[0], (100, prose[1], "en", "web", 1), (1, prose[2] + " " + prose[3], "en", "web", 1), (None, prose[4], "en", "web", 1), (None, prose[5] + prose[6], None, None, None)]
+    rows += [(200, None, None, None, None), (201, "", "en", "web", 0), (202, "12 34", "en", "web", 5), (203, f"{prose[7]} {prose[8]} {item}", "en", "web", 1), (None, item, "en", "web", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_tokens int"
+    spark.createDataFrame([(*r, 7) for r in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(100, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(5, item), (6, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = P.language(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    assert sorted(r.doc_id for r in docs.collect() if r.doc_id is not None) == sorted(r[0] for r in rows if r[0] is not None and r[0] not in (200, 201, 202))
+    docs = P.settle(P.near_dedup(spark, docs, str(tmp_path)), "odd")
+    left = sorted((str(r.doc_id), r.text) for r in docs.collect())
+    # One row of document 0, both texts of 1, no copy under 100 or without an id.
+    assert left == sorted({(str(i), t) for i, t, *_ in rows if t and i not in (100, 201, 202) and not (i is None and t == prose[4])})
+    got = P.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {i for i in range(40)} and len(got) == 41  # rows without an id are one document, which leaks
+    assert P.run(spark, str(tmp_path)).count() <= len(got)
+    none = tmp_path / "none"
+    for name, kind in (("documents", schema), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.parquet(str(none / f"{name}.parquet"))
+    assert P.run(spark, str(none)).collect() == []
+
+
+def test_documents_are_shuffled_to_many_ids(spark, monkeypatch):
+    """The way beyond the bound of the broadcast."""
+    import corpus_pipeline as P
+
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    gone = table.where("doc_id % 3 = 0").selectExpr("doc_id AS _id", "xxhash64(text) AS _mark")
+    want = sorted(r.doc_id for r in P._without(table, gone).collect())
+    monkeypatch.setattr(P, "BROADCAST_IDS", 2)
+    assert sorted(r.doc_id for r in P._without(table, gone).collect()) == want == sorted(r.doc_id for r in table.collect() if r.doc_id % 3)
+
+
 def test_language_of_held_out_documents(spark):
     rows = __spark_entry__.queries()["op8_language"](spark, SMALL).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
