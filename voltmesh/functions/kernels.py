@@ -155,7 +155,7 @@ def united(rings: list[np.ndarray], tolerance: float = 1e-9) -> list[np.ndarray]
     run along another ring's edge, one stays if the rings lie on the same side of it and none if
     they lie on either side. The pieces that are left are chained. tolerance is a share of the extent.
     """
-    rings = [_counter_clockwise(without_repeats(r)) for r in rings if len(r) > 3]
+    rings = _outer([_counter_clockwise(without_repeats(r)) for r in rings if len(r) > 3])
     if len(rings) < 2:
         return rings
     low, high = (f([f(r, axis=0) for r in rings], axis=0) for f in (np.min, np.max))
@@ -168,6 +168,7 @@ def united(rings: list[np.ndarray], tolerance: float = 1e-9) -> list[np.ndarray]
             pieces += zip(ring[:-1], ring[1:], strict=True)
             continue
         e, f = np.concatenate([rings[j][:-1] for j in near]), np.concatenate([np.diff(rings[j], axis=0) for j in near])
+        cut: list[tuple[np.ndarray, np.ndarray]] = []
         for a, b in zip(ring[:-1], ring[1:], strict=True):
             d = b - a
             size = float(d @ d)
@@ -177,31 +178,49 @@ def united(rings: list[np.ndarray], tolerance: float = 1e-9) -> list[np.ndarray]
             slack = eps / np.hypot(*f[ok].T)
             along = w @ d / size
             on = np.abs(_cross(w, d)) <= eps * math.sqrt(size)
-            cuts = np.concatenate([[0.0, 1.0], t[(t > 0) & (t < 1) & (u >= -slack) & (u <= 1 + slack)], along[on & (along > 0) & (along < 1)]])
-            cuts = np.unique(cuts)
-            cuts = cuts[np.concatenate([[True], np.diff(cuts) * math.sqrt(size) > eps])]
-            cuts[-1] = 1.0
-            for s, x in zip(cuts[:-1], cuts[1:], strict=True):
-                if _is_outline(a + d * (s + x) / 2, d, i, rings, near, eps):
-                    pieces.append((a if s == 0 else a + d * s, b if x == 1 else a + d * x))
+            at = np.concatenate([[0.0, 1.0], t[(t > 0) & (t < 1) & (u >= -slack) & (u <= 1 + slack)], along[on & (along > 0) & (along < 1)]])
+            at = np.unique(at)
+            at = at[np.concatenate([[True], np.diff(at) * math.sqrt(size) > eps])]
+            at[-1] = 1.0
+            cut += [(a if s == 0 else a + d * s, b if x == 1 else a + d * x) for s, x in zip(at[:-1], at[1:], strict=True)]
+        from_, to = (np.array(x) for x in zip(*cut, strict=True))
+        keep = _are_outline((from_ + to) / 2, to - from_, i, rings, near, eps)
+        pieces += [x for x, k in zip(cut, keep, strict=True) if k]
     outlines = [r for r in _chained(pieces, 8 * eps) if ((r[:-1, 0] - r[0, 0]) * (r[1:, 1] - r[0, 1]) - (r[1:, 0] - r[0, 0]) * (r[:-1, 1] - r[0, 1])).sum() > 0]
     return sorted(outlines, key=ring_area, reverse=True)
 
 
-def _is_outline(p: np.ndarray, d: np.ndarray, i: int, rings: list[np.ndarray], near: list[int], eps: float) -> bool:
-    """Whether a piece of ring i around p, running along d, bounds the union of all rings."""
+def _outer(rings: list[np.ndarray]) -> list[np.ndarray]:
+    """Rings without those that lie within a convex one."""
+    out: list[np.ndarray] = []
+    for r in sorted(rings, key=ring_area, reverse=True):
+        low, high = r.min(0), r.max(0)
+        for o in out:
+            if (o.min(0) <= low).all() and (high <= o.max(0)).all() and is_convex(o):
+                a, f = o[:-1], np.diff(o, axis=0)
+                if (f[:, None, 0] * (r[None, :, 1] - a[:, None, 1]) - f[:, None, 1] * (r[None, :, 0] - a[:, None, 0]) >= 0).all():
+                    break
+        else:
+            out.append(r)
+    return out
+
+
+def _are_outline(p: np.ndarray, d: np.ndarray, i: int, rings: list[np.ndarray], near: list[int], eps: float) -> np.ndarray:
+    """Which pieces of ring i, with middles p and directions d, bound the union of all rings."""
+    keep = np.ones(len(p), bool)
     for j in near:
         r = rings[j]
-        a, f = r[:-1], np.diff(r, axis=0)
-        t = np.clip(((p - a) * f).sum(1) / (f * f).sum(1), 0, 1)
-        far = np.hypot(*(a + t[:, None] * f - p).T)
-        k = int(far.argmin())
-        if far[k] <= 4 * eps:
-            if f[k] @ d < 0 or j < i:
-                return False
-        elif in_ring(p, r):
-            return False
-    return True
+        a, b, f = r[:-1], r[1:], np.diff(r, axis=0)
+        x, y = p[:, :1], p[:, 1:]
+        t = np.clip(((x - a[:, 0]) * f[:, 0] + (y - a[:, 1]) * f[:, 1]) / (f * f).sum(1), 0, 1)
+        far = np.hypot(a[:, 0] + t * f[:, 0] - x, a[:, 1] + t * f[:, 1] - y)
+        k = far.argmin(1)
+        along = far[np.arange(len(p)), k] <= 4 * eps
+        over = (a[:, 1] > y) != (b[:, 1] > y)
+        right = x < f[:, 0] * (y - a[:, 1]) / np.where(f[:, 1] == 0, 1.0, f[:, 1]) + a[:, 0]
+        inside = np.count_nonzero(over & right, axis=1) % 2 == 1
+        keep &= np.where(along, ((f[k] * d).sum(1) >= 0) & (j > i), ~inside)
+    return keep
 
 
 def _chained(pieces: list[tuple[np.ndarray, np.ndarray]], eps: float) -> list[np.ndarray]:

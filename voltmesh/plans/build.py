@@ -122,7 +122,9 @@ def stations(members: DataFrame, radius_m: float) -> DataFrame:
 
     ddl = f"component string, name string, poi {G.POINT}, shapes {G.POLYGON}, geometry {G.POLYGON}"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    found = graph.settled(members.select("member", "component", "shapes").groupBy("component").applyInArrow(one, ddl))
+    # Dealt by a number of partitions, as outlines cost far more than the bytes of their members tell.
+    dealt = members.select("member", "component", "shapes").repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "component")
+    found = graph.settled(dealt.groupBy("component").applyInArrow(one, ddl))
     base = ids.base(F.col("name"))
     counts = found.groupBy(base.alias("_base")).agg(F.count("*").alias("_n"))
     return found.withColumn("_base", base).join(counts, "_base").select("component", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.col("name")).alias("station_id"), "poi", "shapes", "geometry")
