@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltmesh.llm.shared import settle
@@ -158,16 +158,20 @@ def _listed(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def encoded_words(words: DataFrame, vocabulary: str) -> DataFrame:
-    """Adds ids, an array, to a table with a column word."""
-    rest = [x for x in words.columns if x != "word"]
+@functools.lru_cache(maxsize=2)
+def _words(vocabulary: str) -> Words:
+    """A task's own splitter."""
+    return Words(vocabulary)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(vocabulary)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(x) for x in ["word", *rest]] + [pa.array(known.ids(batch.column("word").to_pylist()), pa.list_(pa.int32()))], names=["word", *rest, "ids"])
 
-    return words.select("word", *rest).mapInArrow(run, ", ".join(f"{x} {words.schema[x].dataType.simpleString()}" for x in ["word", *rest]) + ", ids array<int>")
+def encoded(word: Column, vocabulary: str) -> Column:
+    """The ids of words, an array each."""
+
+    def run(words: pa.Array) -> pa.Array:
+        return pa.array(_words(vocabulary).ids(words.to_pylist()), pa.list_(pa.int32()))
+
+    run.__annotations__ = {"words": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<int>")(word)
 
 
 def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
@@ -182,15 +186,16 @@ def _known_pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
     return F.broadcast(known) if known.count() <= BROADCAST_PIECES else known
 
 
-def decoded(table: DataFrame, vocabulary: str, key: str, ids: str = "ids") -> DataFrame:
-    """(key, ids, text) of a table with unique keys and arrays of ids: the pieces of the ids with a space between, as the vocabulary has no decoder of its own.
+def decoded(table: DataFrame, vocabulary: str, key: str, ids: str = "ids", rest: tuple[str, ...] = ()) -> DataFrame:
+    """(key, *rest, ids, text) of a table with unique keys and arrays of ids: the pieces of the ids with a space between, as the vocabulary has no decoder of its own.
 
     Each id is joined with the table of pieces and put back in its place; null and empty arrays, and unknown ids, give no text.
+    A table that is dealt by key already is not shuffled.
     """
     known = _known_pieces(table.sparkSession, vocabulary)
-    met = table.select(key, F.posexplode_outer(ids).alias("at", "id")).join(known, "id", "left")
-    found = met.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "id", "piece")))).alias("_p"))
-    return found.select(key, F.transform("_p", lambda x: x["id"]).alias(ids), F.array_join(F.transform("_p", lambda x: x["piece"]), " ").alias("text"))
+    met = table.select(key, *rest, F.posexplode_outer(ids).alias("at", "id")).join(known, "id", "left")
+    found = met.groupBy(key).agg(*(F.first(x).alias(x) for x in rest), F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "id", "piece")))).alias("_p"))
+    return found.select(key, *rest, F.transform("_p", lambda x: x["id"]).alias(ids), F.array_join(F.transform("_p", lambda x: x["piece"]), " ").alias("text"))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, block_chars: int = BLOCK_CHARS, held: int = HELD) -> DataFrame:
@@ -206,12 +211,13 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     n_blocks = blocks.count()
 
     # Each distinct word once, encoded, and decoded through the pieces of its ids.
-    counted = settle(blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks")), "bpe-counted")
-    words = settle(decoded(encoded_words(counted.select("word"), vocabulary), vocabulary, "word"), "bpe-words")
-    by_n = counted.groupBy("blocks").agg(F.count("*").alias("n")).orderBy(F.desc("blocks")).toPandas()
+    counted = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks"))
+    known = decoded(counted.withColumn("ids", encoded(F.col("word"), vocabulary)), vocabulary, "word", rest=("blocks",))
+    words = settle(known, "bpe-words")
+    by_n = words.groupBy("blocks").agg(F.count("*").alias("n")).orderBy(F.desc("blocks")).toPandas()
     fit = int((by_n["n"].cumsum() <= held).sum())
     least = int(by_n["blocks"][fit - 1]) if fit else n_blocks + 1
-    often = words.join(counted.where(F.col("blocks") >= max(2, least)).select("word"), "word", "left_semi").toArrow()
+    often = words.where(F.col("blocks") >= max(2, least)).select("word", "ids", "text").toArrow()
     shared = spark.sparkContext.broadcast({w: (np.array(i, "<u4").tobytes(), t) for w, i, t in zip(*(often.column(x).to_pylist() for x in ("word", "ids", "text")), strict=True)})
 
     # Others are joined by word, then gathered by block: as many as the block has distinct words.
@@ -221,7 +227,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 at = [(i, w) for i, w in enumerate(listed.as_py()) if w not in shared.value]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(at), pa.int64()), pa.array([i for i, _ in at], pa.int32()), pa.array([w for _, w in at], pa.string())], names=["block", "at", "word"])
 
-    found = blocks.select("block", "words").mapInArrow(scarce, "block long, at int, word string").join(words, "word")
+    found = blocks.select("block", "words").mapInArrow(scarce, "block long, at int, word string").join(words.drop("blocks"), "word")
     n = max(1, min(n_blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 16)))
     found = found.select("block", F.struct("at", "ids", "text").alias("w")).repartition(n, "block").groupBy("block").agg(F.collect_list("w").alias("found"))
     whole = blocks.repartition(n, "block").join(found, "block", "left")
