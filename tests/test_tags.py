@@ -70,3 +70,13 @@ def test_palette_raises_between_bands(spark):
     assert [r.c for r in df.select(mapview.line_color(F.col("kv")).alias("c")).collect()] == ["#00fa00", "#ff2800", "#ff00ff"]
     with pytest.raises(Exception, match="no colour"):
         spark.createDataFrame([(150.5,)], "kv double").select(mapview.line_color(F.col("kv"))).collect()
+
+
+def test_tags_cleaned_by_value_are_those_cleaned_by_row(spark):
+    from voltmesh.operators import lines
+
+    rows = [(i, v, c, k, f) for i, (v, c, k, f) in enumerate([("220 kV", "1,5", None, "50 Hz"), ("220 kV", "1,5", None, "50 Hz"), (None, None, "3x2;2", "16,7"), ("medium", "2", "6", None), ("110000;20 kV", "", "", "0")])]
+    df = spark.createDataFrame(rows, "id int, voltage string, circuits string, cables string, frequency string")
+    once, each = (sorted(lines.cleaned_tags(df, most=n).collect()) for n in (100, 2))
+    assert once == each and [r.voltage for r in once] == ["220000", "220000", "", "33000", "110000;20000"]
+    assert lines.cleaned_tags(df).columns == df.columns and lines.cleaned_tags(df.limit(0)).count() == 0

@@ -5,10 +5,34 @@ Rows are ordered by a column _row that is unique, so that every "first" is a fix
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmesh.functions import ids, tags
+from voltmesh.operators import graph
+
+
+#: Combinations of tag values that are cleaned by themselves and broadcast: about 30 MB.
+MOST_VALUES = 200_000
+
+CLEANERS = {"voltage": tags.clean_voltage, "circuits": tags.clean_circuits, "cables": tags.clean_cables, "frequency": tags.clean_frequency}
+
+
+def cleaned_tags(df: DataFrame, names: tuple[str, ...] = tuple(CLEANERS), most: int = MOST_VALUES) -> DataFrame:
+    """df with the named tags cleaned. Features repeat a few combinations of values; each is cleaned once and joined back.
+
+    Beyond most combinations every row is cleaned by itself. df is read twice, so it should be stored.
+    """
+    clean = {n: CLEANERS[n](F.col(n)) for n in names}
+    # Settled, or the optimizer would move later filters on clean values, and with them the cleaning, to all rows again.
+    found = graph.settled(df.select(*names).distinct().limit(most + 1))
+    if found.count() > most:
+        return df.withColumns(clean)
+    table = graph.settled(found.select(*(F.col(n).alias(f"_raw_{n}") for n in names), *(c.alias(f"_clean_{n}") for n, c in clean.items())))
+    same = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"_raw_{n}")) for n in names))
+    return df.join(F.broadcast(table), same).select(*(F.col(f"_clean_{c}").alias(c) if c in names else F.col(f"`{c}`") for c in df.columns))
 
 
 def exploded_voltages(df: DataFrame, key: str = "id") -> DataFrame:

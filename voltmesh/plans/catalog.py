@@ -59,8 +59,7 @@ def _sub(spark, d):
 
 
 def _lin(spark, d):
-    clean = {"voltage": tags.clean_voltage(F.col("voltage")), "circuits": tags.clean_circuits(F.col("circuits")), "cables": tags.clean_cables(F.col("cables")), "frequency": tags.clean_frequency(F.col("frequency"))}
-    return lens.rows(spark, d, LIN).withColumns(clean)
+    return lines.cleaned_tags(lens.rows(spark, d, LIN))
 
 
 LIN_SQL = f"SELECT * REPLACE ({VOLTAGE_SQL} AS voltage, {CIRCUITS_SQL} AS circuits, {CABLES_SQL} AS cables, {FREQUENCY_SQL} AS frequency) FROM ({LIN})"

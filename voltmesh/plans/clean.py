@@ -69,13 +69,9 @@ def clean_substations(raw: DataFrame, config: C.Config) -> tuple[DataFrame, Data
 
 
 def _dressed(df: DataFrame) -> DataFrame:
-    return df.withColumns({
+    return lines.cleaned_tags(graph.settled(df)).withColumns({
         "under_construction": tags.under_construction(F.col("power"), F.col("construction"), F.col("construction:power"), ("line", "cable")),
         "start_date": tags.clean_date(F.col("start_date")),
-        "voltage": tags.clean_voltage(F.col("voltage")),
-        "frequency": tags.clean_frequency(F.col("frequency")),
-        "circuits": tags.clean_circuits(F.col("circuits")),
-        "cables": tags.clean_cables(F.col("cables")),
     })
 
 
