@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from voltmesh.llm.shared import settle
 
 #: Characters of a block's texts from which it ends; one longer text is a block of its own.
-BLOCK_CHARS = 16_000_000
-#: Words that are broadcast at most, those in the most blocks: about 30 MB in a task.
-HELD = 300_000
+BLOCK_CHARS = 4_000_000
+#: Words that are broadcast at most, those in the most blocks: about 15 MB in a task.
+HELD = 50_000
 #: A vocabulary with more pieces than this is not broadcast.
 BROADCAST_PIECES = 2_000_000
 
