@@ -134,3 +134,12 @@ def test_columns_of_shapes_keep_their_rows():
         assert shapes._column(shapes._rows(whole), kind).to_pylist() == rows
         assert shapes._column(shapes._rows(whole.slice(1, 3)), kind).to_pylist() == rows[1:]
         assert shapes._column([], kind).to_pylist() == []
+
+
+def test_pole_and_gap_take_few_steps_of_whole_arrays(monkeypatch):
+    steps = []
+    monkeypatch.setattr(K, "distance_to_path", lambda *x: steps.append(x))
+    square = np.array([[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]], float)
+    far = [[4.0, 0.0], [6.0, 0.0], [6.0, 2.0], [4.0, 2.0], [4.0, 0.0]]
+    assert K.pole(square, 1e-3).tolist() == [1, 1] and K.gap(square, np.array(far)) == 2
+    assert K.gap(square, square + 1) == K.gap(square, square * 0.25 + 0.5) == 0 and not steps

@@ -31,18 +31,21 @@ def _volts_int(df: DataFrame) -> DataFrame:
 
 
 def merged_polygons(ways: DataFrame) -> DataFrame:
-    """Adds rings: the outlines of the union of all valid polygons that touch or overlap each row's, through others too. Invalid ones go.
+    """Adds pole, that of each row's own polygon, and rings: the outlines of the union of all valid polygons that touch or overlap it, through others too. Invalid ones go.
 
     ways: a row for each part, geometry being the ring.
     """
-    ways = ways.where(shapes.valid("geometry"))
+    # Dealt by a number of partitions, as shapes cost far more than their bytes tell, and settled, as they are read four times.
+    n = int(ways.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = ways.repartition(n, "id").where(shapes.valid("geometry"))
+    ways = graph.settled(ways.withColumn("pole", shapes.pole("geometry", F.lit(POLE_TOLERANCE))))
     rings = ways.select(ids.base(F.col("id")).alias("way"), "geometry").dropDuplicates(["way"]).withColumn("box", G.bounds(F.col("geometry")))
     other = rings.select(F.col("way").alias("way2"), F.col("geometry").alias("geometry2"), F.col("box").alias("box2"))
     near = spatial.box_join(rings, other, "box", "box2", CELL, F.col("way") < F.col("way2"))
     touching = near.where(shapes.apart_m("geometry", "geometry2") == 0).select(F.col("way").alias("a"), F.col("way2").alias("b"))
     comp = graph.connected(touching)
     named = rings.join(comp.withColumnRenamed("id", "way"), "way", "left").select("way", "geometry", F.coalesce("component", "way").alias("component"))
-    whole = named.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("way", "geometry"))), lambda x: x["geometry"]).alias("rings"))
+    whole = named.repartition(n, "component").groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("way", "geometry"))), lambda x: x["geometry"]).alias("rings"))
     whole = whole.withColumn("rings", F.when(F.size("rings") > 1, shapes.dissolved("rings")).otherwise(F.col("rings")))
     return ways.withColumn("way", ids.base(F.col("id"))).join(named.select("way", "component").join(whole, "component"), "way").drop("way", "component")
 
@@ -61,7 +64,7 @@ def clean_substations(raw: DataFrame, config: C.Config) -> tuple[DataFrame, Data
     df = _volts_int(df).where(F.col("voltage") >= _least_volts(config))
     keep = ["id", "voltage", "country", "under_construction", "start_date", "_row"]
     way = merged_polygons(df.where(~F.col("is_node")).select(*keep, "geometry"))
-    way = way.select(*keep, shapes.pole("geometry", F.lit(POLE_TOLERANCE)).alias("geometry"), "rings")
+    way = way.select(*keep, F.col("pole").alias("geometry"), "rings")
     node = df.where("is_node").select(*keep, F.col("geometry")[0].alias("geometry"), F.lit(None).cast(G.POLYGON).alias("rings"))
     whole = lines.aggregated_substations(way.unionByName(node))
     out = whole.select(F.col("id").alias("bus_id"), "voltage", "country", "under_construction", "start_date", F.col("base_id").alias("contains"), "geometry", "rings")
