@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,20 +55,17 @@ def contracted(df: DataFrame, polygons: DataFrame) -> DataFrame:
     pairs = graph.pass_through(df, points_in_polygons(ends, polygons))
     comp = graph.settled(graph.connected(pairs.select("a", "b")))
     rows = df.join(comp.withColumnRenamed("id", "line_id"), "line_id").withColumn("_length", G.length_m(F.col("geometry")))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_length", "line_id"], ascending=[False, True])
-        parts = K.merged_lines([as_array(g) for g in pdf.sort_values("line_id")["geometry"]])
-        if len(parts) != 1 or K.is_closed(parts[0]):
-            return pd.DataFrame(columns=["line_id", "component", "circuits", "voltage", "underground", "geometry", "contains_lines"])
-        first = pdf.iloc[0]
-        return pd.DataFrame({
-            "line_id": [f"merged_{first['line_id']}+{len(pdf) - 1}"], "component": [first["component"]], "circuits": [first["circuits"]], "voltage": [first["voltage"]],
-            "underground": [first["underground"]], "geometry": [as_points(parts[0])], "contains_lines": [sorted(pdf["line_id"])],
-        })
-
-    schema = f"line_id string, component string, circuits int, voltage int, underground boolean, geometry {G.LINE}, contains_lines array<string>"
-    fused = graph.settled(rows.select("line_id", "component", "circuits", "voltage", "underground", "geometry", "_length").groupBy("component").applyInPandas(merge, schema)).drop("component")
+    # Dealt by a number of partitions, as joining lines costs more than their bytes tell.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chains = rows.repartition(n, "component").groupBy("component").agg(
+        F.array_sort(F.collect_list(F.struct("line_id", "geometry"))).alias("_all"),
+        F.min_by(F.struct("line_id", "circuits", "voltage", "underground"), F.struct(-F.col("_length"), F.col("line_id"))).alias("_first"),
+    )
+    chains = chains.withColumn("_parts", shapes.merged(F.transform("_all", lambda x: x["geometry"])))
+    whole = chains.where(F.size("_parts") == 1).select("*", F.col("_parts")[0].alias("geometry")).where(~G.is_closed(F.col("geometry")))
+    name = F.concat(F.lit("merged_"), F.col("_first.line_id"), F.lit("+"), (F.size("_all") - 1).cast("string"))
+    kept = [F.col(f"_first.{c}").alias(c) for c in ("circuits", "voltage", "underground")]
+    fused = graph.settled(whole.select(name.alias("line_id"), *kept, "geometry", F.transform("_all", lambda x: x["line_id"]).alias("contains_lines")))
     gone = fused.select(F.explode("contains_lines").alias("line_id"))
     rest = df.join(gone, "line_id", "left_anti").select("line_id", "circuits", "voltage", "underground", "geometry", F.array("line_id").alias("contains_lines"))
     return rest.unionByName(fused)
