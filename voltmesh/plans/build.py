@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -16,7 +17,6 @@ from voltmesh.functions import geometry as G
 from voltmesh.functions import ids
 from voltmesh.functions import kernels as K
 from voltmesh.operators import graph, lines, shapes, spatial
-from voltmesh.sources.elements import as_array, as_points
 
 CELL_M = 2000.0
 SPLIT_VOLTS = 220_000
@@ -24,6 +24,11 @@ SPLIT_M = 1.0
 DECIMALS = 8
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by a key to a number of partitions that adaptive execution keeps, as shapes cost far more than their bytes tell."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _floored(df: DataFrame) -> DataFrame:
     return df.withColumn("voltage", (F.floor(F.col("voltage") / 1000) * 1000).cast("int"))
 
@@ -32,14 +37,15 @@ def split_overpassing(df: DataFrame, buses: DataFrame, volts: int = SPLIT_VOLTS,
     """Lines of at least volts cut wherever a bus lies on them without being an end; parts get letters before their kV."""
     x, y = G.metric(F.col("p.lon"), F.col("p.lat"))
     spots = buses.select(F.col("geometry").alias("p")).distinct().withColumn("box2", spatial.box_of_point(x, y, tolerance_m))
-    high = df.where(F.col("voltage") >= volts).select("line_id", "geometry").withColumn("box", shapes.metric_box(F.col("geometry")))
+    high = _dealt(df.where(F.col("voltage") >= volts).select("line_id", "geometry"), "line_id").withColumn("box", shapes.metric_box(F.col("geometry")))
     near = spatial.box_join(high, spots, "box", "box2", CELL_M).where((F.col("p") != F.element_at("geometry", 1)) & (F.col("p") != F.element_at("geometry", -1)))
     over = near.where(shapes.point_to_line_m(F.col("p"), F.col("geometry")) <= tolerance_m).groupBy("line_id").agg(F.array_sort(F.collect_set("p")).alias("_points"))
-    rows = df.join(over, "line_id", "left")
-    parts = F.when(F.col("_points").isNotNull(), shapes.split("geometry", F.coalesce("_points", F.array().cast(G.LINE)))).otherwise(F.array("geometry"))
-    rows = rows.withColumn("_parts", parts).withColumn("_n", F.size("_parts")).select("*", F.posexplode("_parts").alias("_i", "_part"))
+    over = graph.settled(over)
+    rows = df.join(over, "line_id").withColumn("_parts", shapes.split("geometry", "_points")).withColumn("_n", F.size("_parts"))
+    rows = rows.select("*", F.posexplode("_parts").alias("_i", "_part"))
     name = F.when(F.col("_n") > 1, F.concat(ids.without_kv(F.col("line_id")), F.lit(":"), ids.letters(F.col("_i")), F.lit("-"), ids.kv_of(F.col("line_id")))).otherwise(F.col("line_id"))
-    return rows.withColumn("line_id", name).withColumn("geometry", F.col("_part")).select(*df.columns)
+    cut = rows.withColumn("line_id", name).withColumn("geometry", F.col("_part")).select(*df.columns)
+    return df.join(over, "line_id", "left_anti").unionByName(cut)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame) -> DataFrame:
@@ -55,9 +61,7 @@ def contracted(df: DataFrame, polygons: DataFrame) -> DataFrame:
     pairs = graph.pass_through(df, points_in_polygons(ends, polygons))
     comp = graph.settled(graph.connected(pairs.select("a", "b")))
     rows = df.join(comp.withColumnRenamed("id", "line_id"), "line_id").withColumn("_length", G.length_m(F.col("geometry")))
-    # Dealt by a number of partitions, as joining lines costs more than their bytes tell.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chains = rows.repartition(n, "component").groupBy("component").agg(
+    chains = _dealt(rows, "component").groupBy("component").agg(
         F.array_sort(F.collect_list(F.struct("line_id", "geometry"))).alias("_all"),
         F.min_by(F.struct("line_id", "circuits", "voltage", "underground"), F.struct(-F.col("_length"), F.col("line_id"))).alias("_first"),
     )
@@ -82,7 +86,7 @@ def station_members(buses: DataFrame, polygons: DataFrame) -> DataFrame:
 
 def clustered(members: DataFrame, radius_m: float) -> DataFrame:
     """Adds component: members whose shapes, each widened by radius_m, overlap, through others too."""
-    parts = members.select("member", F.explode("shapes").alias("shape")).withColumn("box", shapes.metric_box(F.col("shape"), radius_m))
+    parts = _dealt(members.select("member", F.explode("shapes").alias("shape")), "member").withColumn("box", shapes.metric_box(F.col("shape"), radius_m))
     other = parts.select(F.col("member").alias("member2"), F.col("shape").alias("shape2"), F.col("box").alias("box2"))
     near = spatial.box_join(parts, other, "box", "box2", max(CELL_M, 4 * radius_m), F.col("member") < F.col("member2"))
     both_points = (F.size("shape") == 1) & (F.size("shape2") == 1)
@@ -102,25 +106,30 @@ def stations(members: DataFrame, radius_m: float) -> DataFrame:
     point. geometry holds the outlines of the union of the widened members.
     """
 
-    def one(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["member"])
-        parts = [[K.to_metric(as_array(s)) for s in r["shapes"]] for r in rows]
+    def one(component: str, rows: list[tuple[str, list[np.ndarray]]]) -> tuple:
+        parts = [[K.to_metric(s) for s in x] for _, x in rows]
         wide = [K.united([ring for s in x for ring in K.dilated(s, radius_m)]) for x in parts]
-        i = int(np.argmax([sum(K.ring_area(r) for r in x) for x in wide]))
-        outline = K.united([r for x in wide for r in x])
+        i = int(np.argmax([sum(K.ring_area(r) for r in x) for x in wide])) if len(rows) > 1 else 0
+        outline = K.united([r for x in wide for r in x]) if len(rows) > 1 else wide[0]
         rings = [s for s in parts[i] if len(s) > 3]
-        poi = K.pole(max(rings or outline, key=K.ring_area), radius_m / 2)
-        row = {
-            "component": rows[0]["component"], "name": rows[i]["member"], "poi": as_points(K.to_degrees(poi[None]))[0],
-            "shapes": [as_points(K.to_degrees(s)) for x in parts for s in x], "geometry": [as_points(K.to_degrees(r)) for r in outline],
-        }
-        return pa.Table.from_pylist([row], schema)
-
-    ddl = f"component string, name string, poi {G.POINT}, shapes {G.POLYGON}, geometry {G.POLYGON}"
+        # The pole of a widened point is the point.
+        poi = K.pole(max(rings or outline, key=K.ring_area), radius_m / 2) if rings or len(parts[i]) > 1 or len(parts[i][0]) > 1 else parts[i][0][0]
+        return component, rows[i][0], K.to_degrees(poi[None]), [K.to_degrees(s) for x in parts for s in x], [K.to_degrees(r) for r in outline]
+
+    ddl = f"component string, name string, poi {G.LINE}, shapes {G.POLYGON}, geometry {G.POLYGON}"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    # Dealt by a number of partitions, as outlines cost far more than the bytes of their members tell.
-    dealt = members.select("member", "component", "shapes").repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "component")
-    found = graph.settled(dealt.groupBy("component").applyInArrow(one, ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = list(zip(batch["component"].to_pylist(), batch["names"].to_pylist(), shapes._rows(batch["members"]), strict=True))
+            for lo in range(0, len(of), 256):
+                found = [one(c, list(zip(names, lists, strict=True))) for c, names, lists in of[lo : lo + 256]]
+                columns = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([shapes._column(list(x), f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+    every = _dealt(members.select("member", "component", "shapes"), "component").groupBy("component").agg(F.array_sort(F.collect_list(F.struct("member", "shapes"))).alias("_all"))
+    every = every.select("component", F.transform("_all", lambda x: x["member"]).alias("names"), F.transform("_all", lambda x: x["shapes"]).alias("members"))
+    found = graph.settled(every.mapInArrow(run, ddl)).withColumn("poi", F.col("poi")[0])
     base = ids.base(F.col("name"))
     counts = found.groupBy(base.alias("_base")).agg(F.count("*").alias("_n"))
     return found.withColumn("_base", base).join(counts, "_base").select("component", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.col("name")).alias("station_id"), "poi", "shapes", "geometry")
@@ -158,7 +167,7 @@ def connected_lines(df: DataFrame, ends: DataFrame, members: DataFrame, places:
     for i, end in ((0, 1), (1, -1)):
         side = spot.select("voltage", F.col("point").alias("_end"), F.col("bus_id").alias(f"bus{i}"), F.col("bus_point").alias(f"_p{i}"), F.col("shapes").alias(f"_s{i}"))
         df = df.withColumn("_end", F.element_at("geometry", end)).join(side, ["voltage", "_end"]).drop("_end")
-    df = df.where("bus0 <> bus1")
+    df = _dealt(df.where("bus0 <> bus1"), "line_id")
 
     def cut(line, s0, s1):
         m = K.to_metric(line)
