@@ -160,3 +160,15 @@ def test_loads_of_documents_are_those_of_plain_scheduling(spark):
         group[text[r.doc_id]] = group.get(text[r.doc_id], 0) + r.size
         load[r.shard] = load.get(r.shard, 0) + r.size
     assert sorted(load.values()) == sorted(plain_schedule(group.values(), 40)) and len(out) == len(text)
+
+
+def test_gains_tell_which_templates_are_confirmed():
+    scanner = Scanner(TEMPLATES, LicenseParams())
+    short = {n for n, w in scanner.words.items() if len(w) < 12}
+    plain = [str(i * 7919 % 100_003) for i in range(300)]
+    assert short <= set(scanner.gaining(plain)) and "MIT text" not in scanner.gaining(plain)
+    assert "MIT text" in scanner.gaining([*plain, *scanner.words["MIT text"], *plain * 9])
+    text = TEMPLATES["MIT text"] + " " + TEMPLATES["ISC"]
+    assert {"MIT text", "ISC"} <= {x[1] for x in scanner.scan(text)}
+    scanner.worded["MIT text"] = scanner.alone
+    assert "MIT text" not in {x[1] for x in scanner.scan(text)}

@@ -1,8 +1,9 @@
 """License scans by conditional compression.
 
 Blocks of text that speak of licences are compressed twice: alone, and with each template as
-a raw zstandard dictionary. Templates are ranked by how much smaller the block becomes, and
-each is confirmed by exact differences of wording, in every place of the block that could hold it.
+a raw zstandard dictionary. Templates that make no stretch of the block smaller go no further; the
+others are ranked by how much smaller the block becomes, and each is confirmed by exact differences
+of wording, in every place of the block that could hold it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from voltmesh.llm.wordings import TEMPLATES
 
 HINT = r"(?i)licen[sc]|copyright|permission|redistribut|public domain|warrant|free software|unencumbered|misrepresent|original software|liab(?:le|ilit)|SPDX"
 _SENTENCE = re.compile(r"(?<=[.!?:;])\s+|\n+")
+#: A stretch that is compressed at once is so many times as long as a template's longest place, so that what the template saves in it stands out.
+STRETCH = 3
+#: Templates of fewer words are confirmed without a gain: so little may be saved in them that a few changed words use it up.
+FEW = 12
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -69,7 +74,9 @@ class Scanner:
         self.words = {n: [w.lower() for w in _WORD.findall(t)] for n, t in templates.items()}
         self.counts = {n: Counter(w) for n, w in self.words.items()}
         self.alone = zstd.ZstdCompressor(level=3)
-        self.given = {n: zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)) for n, t in templates.items()}
+        given = lambda t: zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT))
+        self.given = {n: given(t) for n, t in templates.items()}
+        self.worded = {n: given(" ".join(w)) for n, w in self.words.items()}
 
     def differences(self, name: str, block: list[str]) -> tuple[int, int]:
         """Words of the template that the block lacks or changes, and words of the block beyond it between first and last match."""
@@ -116,10 +123,27 @@ class Scanner:
             if w == theirs[0] and block[at : at + len(theirs)] == theirs:
                 yield at, at + len(theirs)
 
-    def confirmed(self, block: list[str]) -> dict[str, tuple[int, int]]:
-        """Words missing and added of each template that the block holds. Where one stands word for word, others like it are not found with differences."""
+    def gaining(self, block: list[str]) -> list[str]:
+        """The templates whose words make some stretch of the block's words smaller, and those too short to tell. Each place that could hold a template lies whole in a stretch."""
+        alone: dict[bytes, int] = {}
+
+        def gains(name: str) -> bool:
+            n = len(self.words[name])
+            reach = n + 2 * int(self.params.missing * n)
+            for at in range(0, max(1, len(block) - reach), (STRETCH - 1) * reach):
+                raw = " ".join(block[at : at + STRETCH * reach]).encode()
+                if raw not in alone:
+                    alone[raw] = len(self.alone.compress(raw))
+                if len(self.worded[name].compress(raw)) < alone[raw]:
+                    return True
+            return False
+
+        return [n for n in self.names if len(self.words[n]) < FEW or gains(n)]
+
+    def confirmed(self, block: list[str], names: list[str]) -> dict[str, tuple[int, int]]:
+        """Words missing and added of each of the named templates that the block holds. Where one stands word for word, others like it are not found with differences."""
         have, out = Counter(block), {}
-        first = {n: x for n in self.names if (x := self.best(n, block, have)) is not None}
+        first = {n: x for n in names if (x := self.best(n, block, have)) is not None}
         places = {n: list(self.exact(n, block)) for n, x in first.items() if x[:2] == (0, 0)}
         for name, found in first.items():
             left, n = list(block), len(self.words[name])
@@ -142,7 +166,7 @@ class Scanner:
             raw = block.encode()
             size = len(self.alone.compress(raw))
             words = [w.lower() for w in _WORD.findall(block)]
-            here = [(round(1 - len(self.given[n].compress(raw)) / size, 6), n, *apart) for n, apart in self.confirmed(words).items()]
+            here = [(round(1 - len(self.given[n].compress(raw)) / size, 6), n, *apart) for n, apart in self.confirmed(words, self.gaining(words)).items()]
             out += [(start, name, gain, *apart) for gain, name, *apart in sorted(here, key=lambda x: (-x[0], x[1]))]
         return out
 
