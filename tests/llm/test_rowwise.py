@@ -5,9 +5,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from voltmesh.llm.bpe import Words, decoded, encode_documents
+from voltmesh.llm.bpe import Words, _dealt, _gathered, _meanings, decoded, encode_documents, pieces
 from voltmesh.llm.licenses import TEMPLATES, LicenseParams, Scanner, find_licenses, license_report, read_templates
 from voltmesh.llm.queries import vocabulary
 from voltmesh.llm.shards import assign_shards, scheduled
@@ -46,6 +47,30 @@ def test_empty_tables_and_other_vocabularies(spark):
         Words(vocabulary("byte_bpe_50k.json"))
 
 
+def test_blocks_of_words_lie_where_they_are_joined(spark):
+    df = spark.createDataFrame([(i, f"alpha beta{i} {t or ''}") for i, t in enumerate(ODD * 20)], "doc_id long, text string")
+    plan = encode_documents(df, vocabulary(), block_chars=300)._jdf.queryExecution().executedPlan().toString()
+    # Only what words mean is dealt by block, and the pieces of a word are not gathered by a shuffle.
+    assert plan.count("Exchange hashpartitioning(block") == 1 and plan.count("Exchange hashpartitioning(word") == 1
+
+
+def test_ids_of_words_are_gathered_alike_with_and_without_broadcast(spark):
+    listed = [(f"word{i}", [(i % 3, i), (5, i + 1)], [i + 10, 7, i]) for i in range(40)] + [("none", [(5, 99)], [])]
+    words = spark.createDataFrame(listed, "word string, where array<struct<block:long,at:int>>, ids array<int>")
+    piece = {r.id: r.piece for r in pieces(spark, vocabulary()).collect()}
+    want = {(block, at): (np.array(ids, "<u4").tobytes(), " ".join(piece[i] for i in ids).encode()) for _, where, ids in listed for block, at in where}
+    for held, most in ((1, 1_000_000), (50_000, 1_000_000), (5, 0)):
+        rows = _dealt(words, vocabulary(), held, broadcast_pieces=most).toArrow().to_pylist()
+        got = {}
+        for block in {r["block"] for r in rows}:
+            ids, texts = _meanings(pa.array([r for r in rows if r["block"] == block]), 200)
+            got |= {(block, at): (ids[at], texts[at]) for b, at in want if b == block}
+        assert got == want
+    torn = pa.RecordBatch.from_pydict({"where": [[{"block": 0, "at": 0}], None], "size": [2, 2], "nth": pa.array([0, 2], pa.int32()), "id": [1, 2], "piece": ["a", "b"]})
+    with pytest.raises(RuntimeError):
+        list(_gathered(iter([torn]), 10))
+
+
 def test_licences_and_changed_wordings(spark):
     mit = TEMPLATES["MIT notice"]
     rows = [(1, "Some text.\n" + TEMPLATES["Apache-2.0"] + " More text."), (2, "x. " + mit.replace("free of charge", "at no charge") + " y."), (3, "A license is a permission."), (4, None), (5, ""), (6, "no hint " * 1000), (7, TEMPLATES["CC-BY-NC-4.0"] + "\n\n" + "plain words. " * 9 + TEMPLATES["GPL-3.0"])]
