@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltmesh.llm.shared import settle_buckets
@@ -159,7 +159,7 @@ def word_blocks(docs: DataFrame, vocabulary: str, block_chars: int = BLOCK_CHARS
                     _returned()
         if ids:
             yield block()
-        (ids, sizes, places, words), batch = started(), None
+        (ids, sizes, places, words), batch, splitter = started(), None, None
         _returned()
 
     return docs.mapInArrow(run, f"block long, ids array<{kind.simpleString()}>, sizes array<int>, places binary, words array<string>")
@@ -170,27 +170,27 @@ def _listed(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-@functools.lru_cache(maxsize=2)
-def _words(vocabulary: str) -> Words:
-    """A task's own splitter."""
-    return Words(vocabulary)
+def encoded(words: DataFrame, vocabulary: str) -> DataFrame:
+    """words (word, where) with the ids of each word, an array. A task has the vocabulary only while it encodes, as its worker goes on to others."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Words(vocabulary)
+        for batch in batches:
+            ids = pa.array(splitter.ids(batch.column(0).to_pylist()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=["word", "where", "ids"])
+        splitter = batch = ids = None
+        _returned()
 
-def encoded(word: Column, vocabulary: str) -> Column:
-    """The ids of words, an array each."""
-
-    def run(words: pa.Array) -> pa.Array:
-        return pa.array(_words(vocabulary).ids(words.to_pylist()), pa.list_(pa.int32()))
-
-    run.__annotations__ = {"words": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "array<int>")(word)
+    return words.select("word", "where").mapInArrow(run, f"word string, where {words.schema['where'].dataType.simpleString()}, ids array<int>")
 
 
 def pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
     """(id, piece) of a vocabulary."""
     tokenizer = Words(vocabulary).tokenizer
     found = [(i, x) for i in range(tokenizer.get_vocab_size(with_added_tokens=True)) if (x := tokenizer.id_to_token(i)) is not None]
-    return spark.createDataFrame(found, "id int, piece string")
+    # From Arrow, as a list of rows would start Python workers of another kind on each executor, which stay.
+    ids, texts = zip(*found, strict=True)
+    return spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int32()), "piece": pa.array(texts, pa.string())}), "id int, piece string")
 
 
 def _known_pieces(spark: SparkSession, vocabulary: str) -> DataFrame:
@@ -316,7 +316,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     # Each distinct word once with its blocks and places, encoded, and decoded through the pieces of its ids.
     listed = blocks.select("block", F.posexplode("words").alias("at", "word")).repartition("word")
     known = listed.groupBy("word").agg(F.collect_list(F.struct("block", "at")).alias("where"))
-    words = known.withColumn("ids", encoded(F.col("word"), vocabulary))
+    words = encoded(known, vocabulary)
 
     # Back to the blocks, each of which is one row with what all tasks have for it. They lie by block already and are not shuffled.
     found = _dealt(words, vocabulary, held).repartition(n, "block").groupBy("block").agg(F.collect_list(F.struct("n", "at", "sizes", "ids", "lengths", "texts")).alias("found"))
