@@ -71,6 +71,13 @@ def test_ids_of_words_are_gathered_alike_with_and_without_broadcast(spark):
         list(_gathered(iter([torn]), 10))
 
 
+def test_pieces_start_no_python_workers(spark):
+    rdd = pieces(spark, vocabulary())._jdf.queryExecution().toRdd().toDebugString()
+    assert "PythonRDD" not in rdd
+    listed = spark.createDataFrame([(1, "a")], "id int, piece string")._jdf.queryExecution().toRdd().toDebugString()
+    assert "PythonRDD" in listed
+
+
 def test_licences_and_changed_wordings(spark):
     mit = TEMPLATES["MIT notice"]
     rows = [(1, "Some text.\n" + TEMPLATES["Apache-2.0"] + " More text."), (2, "x. " + mit.replace("free of charge", "at no charge") + " y."), (3, "A license is a permission."), (4, None), (5, ""), (6, "no hint " * 1000), (7, TEMPLATES["CC-BY-NC-4.0"] + "\n\n" + "plain words. " * 9 + TEMPLATES["GPL-3.0"])]
