@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voltmesh.llm.langid import Profiles, fit_profiles, gram_counts, predict_language, ranked
@@ -281,3 +282,37 @@ def test_quality_against_plain_updates(spark):
         want = 1 / (1 + math.exp(-(sum(w.get(k, 0.0) for k in f) / math.sqrt(len(f)) + bias[2])))
         assert got[i].score == pytest.approx(want, abs=1e-5) and got[i].predicted == int(got[i].score >= 0.3) and got[i].held_out == (i not in known)
     assert fit_ftrl([], np.empty(0), p)[1] == 0.0
+
+
+def test_hashing_memory_does_not_follow_the_batch():
+    import tracemalloc
+
+    from voltmesh.llm import words
+
+    column = pa.array([f"w{i} some words " * 4000 for i in range(40)])  # 2.4 MB
+    words._powers.clear()
+    tracemalloc.start()
+    n = sum(len(h) for _, h, _ in hashed_words(column, SPACES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 40 * 4000 * 3 and peak < 24e6
+
+
+def test_tasks_give_freed_memory_back(spark, monkeypatch):
+    from voltmesh.llm import langid, neardup, quality, shared
+
+    called = []
+    monkeypatch.setattr(shared, "returned", lambda: called.append(1))
+    assert list(shared.lean(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3] and called == [1]
+    begun = shared.lean(iter)(iter([1, 2]))
+    next(begun)
+    begun.close()
+    assert called == [1, 1]
+    wrapped = []
+    for module in (langid, neardup, quality):
+        monkeypatch.setattr(module, "lean", lambda run, m=module: (wrapped.append(m), run)[1])
+    docs = spark.createDataFrame([(1, "a b c", "en")], "doc_id long, text string, lang string")
+    langid.predict_language(docs, langid.Profiles({}, 1))
+    quality.score_quality(docs, (np.zeros(1 << 18), 0.0))
+    neardup._signatures(docs, neardup.NearDupParams())
+    assert wrapped == [langid, quality, neardup]

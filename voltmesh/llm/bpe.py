@@ -10,7 +10,6 @@ A word has at most one row for each block, so no key is hot and none needs to be
 
 from __future__ import annotations
 
-import ctypes
 import functools
 import hashlib
 import json
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmesh.llm.shared import settle_buckets
+from voltmesh.llm.shared import returned, settle_buckets
 
 #: Characters of a block's texts from which it ends; one longer text is a block of its own.
 BLOCK_CHARS = 32_000_000
@@ -110,13 +109,6 @@ def _packed(places: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(places.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _returned() -> None:
-    """Gives freed memory back to the system where the C library can: a worker serves many tasks."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
-
-
 def _unpacked(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed, max_output_size=4 * n), np.uint8).reshape(4, n).T.copy().view("<u4").ravel()
 
@@ -156,11 +148,11 @@ def word_blocks(docs: DataFrame, vocabulary: str, block_chars: int = BLOCK_CHARS
                 if chars >= block_chars:
                     yield block()
                     (ids, sizes, places, words), chars, nth = started(), 0, nth + 1
-                    _returned()
+                    returned()
         if ids:
             yield block()
         (ids, sizes, places, words), batch, splitter = started(), None, None
-        _returned()
+        returned()
 
     return docs.mapInArrow(run, f"block long, ids array<{kind.simpleString()}>, sizes array<int>, places binary, words array<string>")
 
@@ -179,7 +171,7 @@ def encoded(words: DataFrame, vocabulary: str) -> DataFrame:
             ids = pa.array(splitter.ids(batch.column(0).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=["word", "where", "ids"])
         splitter = batch = ids = None
-        _returned()
+        returned()
 
     return words.select("word", "where").mapInArrow(run, f"word string, where {words.schema['where'].dataType.simpleString()}, ids array<int>")
 
@@ -346,7 +338,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                     columns = [n_tokens, sha, back, tokens] if with_ids else [n_tokens, sha, back]
                     yield pa.RecordBatch.from_arrays([names.slice(lo, 256), *(pa.array(x, t) for x, (_, t) in zip(columns, tail, strict=True))], names=["id", *(x for x, _ in tail)])
                 row = ids = texts = places = None
-                _returned()
+                returned()
 
     out = whole.mapInArrow(assembled, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", tokens array<int>" * with_ids)
     return out.select(F.col("id").alias(id_col), "n_tokens", "ids_sha256", "decoded_sha256", *([F.col("tokens").alias("ids")] if with_ids else []))

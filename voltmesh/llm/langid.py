@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltmesh.llm.shared import lean
+
 
 @dataclass(frozen=True)
 class LangParams:
@@ -149,7 +151,7 @@ def fit_profiles(docs: DataFrame, params: LangParams = LangParams()) -> Profiles
                     keys, counts = gram_counts("\n".join(texts[int(i)].as_py() for i in mine))
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], names=["lang", "gram", "n"])
 
-    total = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = chosen.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranks = {}
     for lang in sorted(sizes):
         best = total.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(params.top) if len(sizes) == 1 else None
@@ -184,4 +186,4 @@ def predict_language(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...]
 
     schema = ", ".join(f"`{x}` {docs.schema[x].dataType.simpleString()}" for x in names) + ", lang_pred string, score double"
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    return given.mapInArrow(run, schema).select("doc_id", *rest, F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return given.mapInArrow(lean(run), schema).select("doc_id", *rest, F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
