@@ -83,3 +83,25 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert leak_report(d, i).collect() == []
     assert [tuple(r)[:4] for r in leak_report(one, i).collect()] == [(1, 2, 0, 0)]
+
+
+def test_tables_between_steps_are_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has, small tables are one file and others a few for each core."""
+    from voltmesh.llm import decontam, shared
+
+    docs, items = made()
+    seen, real = {}, shared.settle
+    monkeypatch.setattr(decontam, "settle", lambda df, name: (seen.update({name: df.rdd.getNumPartitions()}), real(df, name))[1])
+    conf = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = leak_report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+        most = 8 * spark.sparkContext.defaultParallelism
+        assert out.rdd.getNumPartitions() <= most
+        assert {r[0]: tuple(r)[1:] for r in out.collect()} == brute(docs, items)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [seen[f"leak-{x}"] for x in ("items", "prints", "windows")] == [1, 1, 1] and max(seen.values()) <= most

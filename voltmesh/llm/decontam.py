@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltmesh.llm.shared import settle
+from voltmesh.llm.shared import gathered, settle
 
 WINDOW = 10
 SHORT = 4
@@ -116,9 +116,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
     columns are ignored. Work follows the number of words also where a text or an item repeats itself.
     """
     key = docs.schema["doc_id"].dataType
-    item = settle(items.select(F.col("item_id"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct(), "leak-items")
-    lengths = sorted(r[0] for r in item.select(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).distinct().collect())
-    known, windows = (settle(x, f"leak-{name}") for x, name in zip(_item_tables(item, lengths), ("prints", "windows"), strict=True))
+    item = settle(gathered(items.select(F.col("item_id"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct(), items.count()), "leak-items")
+    words = {r["n"]: r["words"] for r in item.groupBy(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).agg(F.sum(F.size("w")).alias("words")).collect()}
+    lengths = sorted(words)
+    known, windows = (settle(gathered(x, sum(words.values())), f"leak-{name}") for x, name in zip(_item_tables(item, lengths), ("prints", "windows"), strict=True))
 
     # The documents' kept hashes against the items'. A mark that every document has carries n_words along. explode_outer, since for explode Spark
     # would add a filter on the array's size and compute all of the above twice.
@@ -131,7 +132,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
     else:  # A hash that very many documents share makes a skewed partition, which adaptive execution splits; the mark is no row of the join.
         hit = found.where(F.col("fp") != _MARK).join(known, "fp").unionByName(found.where(F.col("fp") == _MARK), allowMissingColumns=True)
     prints = F.collect_set(F.when(F.col("fp") != _MARK, F.col("fp")))
-    marks = settle(hit.groupBy("doc_id").agg(F.max("n_words").cast("long").alias("n_words"), prints.alias("fps")), "leak-marks")
+    marks = settle(gathered(hit.groupBy("doc_id").agg(F.max("n_words").cast("long").alias("n_words"), prints.alias("fps"))), "leak-marks")
 
     # Matches are extended: around each, the windows of the document that hold it are compared word by word with those of the items.
     met = marks.where(F.size("fps") > 0).select(F.col("doc_id").alias("_id"), "fps")
@@ -145,7 +146,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
         spots.append(F.filter(F.transform(F.col(flags), _spot(n)), lambda x: x.isNotNull()))
     near = near.select("doc_id", F.explode(F.concat(*spots)).alias("s")).groupBy("doc_id", "s.len", "s.window").agg(F.collect_set("s.at").alias("at"))
     every = windows.select("len", "window").distinct()
-    same = settle(near.join(F.broadcast(every) if _few(every, broadcast_rows) else every, ["len", "window"]), "leak-hits")
+    same = settle(gathered(near.join(F.broadcast(every) if _few(every, broadcast_rows) else every, ["len", "window"])), "leak-hits")
     # Places of one document, and ids of the items that one document meets: as long as its row of the result.
     places = F.flatten(F.collect_list(F.transform("at", lambda i: F.struct(i.alias("at"), F.col("len").alias("len")))))
     words = F.array_sort(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["at"], p["at"] + p["len"] - 1)))))
@@ -155,7 +156,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAS
     for part in (hits, of):
         part = part.withColumn("_id", F.col("_id").cast(key))
         out = out.join(part, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    return out.select("doc_id", "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return gathered(out).select("doc_id", "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def leak_report(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
