@@ -316,3 +316,15 @@ def test_tasks_give_freed_memory_back(spark, monkeypatch):
     quality.score_quality(docs, (np.zeros(1 << 18), 0.0))
     neardup._signatures(docs, neardup.NearDupParams())
     assert wrapped == [langid, quality, neardup]
+
+
+def test_words_do_not_depend_on_the_runs_that_they_are_hashed_in():
+    """Steps that sum up or learn by run ask for runs of their own length."""
+    from voltmesh.llm.words import LONG_RUN_BYTES
+
+    column = pa.array([f"w{i} " * 30_000 for i in range(20)] + [None, "a" * (2 * RUN_BYTES)])
+    runs = {n: list(hashed_words(column, SPACES, n)) for n in (RUN_BYTES, LONG_RUN_BYTES)}
+    assert len(runs[LONG_RUN_BYTES]) < 3 and len(runs[RUN_BYTES]) > 5
+    one, two = (np.concatenate([h for _, h, _ in x]) for x in runs.values())
+    assert (one == two).all()
+    assert [int(k) for x in runs[RUN_BYTES] for k in np.diff(x[2])] == [int(k) for x in runs[LONG_RUN_BYTES] for k in np.diff(x[2])]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltmesh.llm.shared import settle
-from voltmesh.llm.words import NOT_ALNUM, hashed_words, mix, ranges_hashed
+from voltmesh.llm.words import LONG_RUN_BYTES, NOT_ALNUM, hashed_words, mix, ranges_hashed
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def corpus_counts(docs: DataFrame, p: LmParams = LmParams()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, words, offsets in hashed_words(batch.column(0), NOT_ALNUM):
+            for _, words, offsets in hashed_words(batch.column(0), NOT_ALNUM, LONG_RUN_BYTES):
                 for segment, found in ((False, words.view(np.int64)), (True, segments(words, offsets, p)[1])):
                     keys, n = np.unique(found, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), segment)), pa.array(keys), pa.array(n)], names=["segment", "word", "n"])
@@ -273,7 +273,7 @@ def _train(docs: DataFrame, network: WindowNetwork, turn: int) -> None:
         net, rng = copy.deepcopy(shared.value), np.random.default_rng([p.seed, turn])
         used = {"embed": np.zeros((2 * p.reach, p.size + 1)), "to_word": np.zeros(p.side)}
         for batch in batches:
-            for _, words, offsets in hashed_words(batch.column(0), NOT_ALNUM):
+            for _, words, offsets in hashed_words(batch.column(0), NOT_ALNUM, LONG_RUN_BYTES):
                 padded, at = net.laid(net.vocabulary.of(words), offsets)
                 chosen = at[rng.random(len(at)) < max(p.masked, min(1.0, p.least / max(1, len(at))))]
                 parts = max(1, round(len(chosen) / min(p.step, max(p.least, len(chosen) // 32))))
@@ -354,7 +354,7 @@ def score_documents(docs: DataFrame, network: WindowNetwork) -> DataFrame:
         for batch in batches:
             n, unknown, total, cut = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.float64, np.int64))
             keys, fits, lengths = ([np.empty(0, t)] for t in (np.int64, np.float32, np.int32))
-            for row, words, offsets in hashed_words(batch.column(1), NOT_ALNUM):
+            for row, words, offsets in hashed_words(batch.column(1), NOT_ALNUM, LONG_RUN_BYTES):
                 tokens = net.vocabulary.of(words)
                 rows = slice(row, row + len(offsets) - 1)
                 n[rows] = np.diff(offsets)
