@@ -143,3 +143,30 @@ def test_pole_and_gap_take_few_steps_of_whole_arrays(monkeypatch):
     far = [[4.0, 0.0], [6.0, 0.0], [6.0, 2.0], [4.0, 2.0], [4.0, 0.0]]
     assert K.pole(square, 1e-3).tolist() == [1, 1] and K.gap(square, np.array(far)) == 2
     assert K.gap(square, square + 1) == K.gap(square, square * 0.25 + 0.5) == 0 and not steps
+
+
+def _star(rng, middle):
+    """A ring around a place."""
+    angle = np.sort(rng.uniform(0, 2 * np.pi, rng.integers(3, 9)))
+    ring = middle + rng.uniform(20, 300, (len(angle), 1)) * np.stack([np.cos(angle), np.sin(angle)], 1)
+    return np.concatenate([ring, ring[:1]])
+
+
+def test_many_shapes_at_once_are_as_one_by_one():
+    rng = np.random.default_rng(7)
+    rings = [_star(rng, rng.uniform(0, 500, 2)) for _ in range(200)] + [np.array([[1.0, 2.0], [3.0, 2.0], [4.0, 2.0], [1.0, 2.0]])]
+    assert np.abs(K.poles(rings, 5.0) - np.array([K.pole(r, 5.0) for r in rings])).max() < 1e-6 and K.poles([], 5.0).shape == (0, 2)
+    lines = [rng.uniform(0, 600, 2) + np.cumsum(rng.normal(0, 120, (rng.integers(2, 9), 2)), axis=0) for _ in range(200)]
+    lines[3] = np.repeat(lines[3], 2, axis=0)
+    regions = [[x, rings[i], rings[i + 1], rng.uniform(0, 600, (1, 2))][i % 2 : 2 + i % 3] for i, x in enumerate(lines)]
+    for wide in (60.0, 0.0):
+        one = [[p for p in K.outside(x, (r, wide)) if K.length(p) > 1e-6] for x, r in zip(lines, regions, strict=True)]
+        many = K.outside_each(lines, regions, wide)
+        assert [len(x) for x in one] == [len(x) for x in many] and sum(map(len, one)) > 100
+        assert all(abs(K.length(p) - K.length(q)) < 1e-6 for x, y in zip(one, many, strict=True) for p, q in zip(x, y, strict=True))
+
+
+def test_groups_of_links():
+    a, b = np.arange(999, 0, -1), np.arange(998, -1, -1)
+    assert (K.joined_groups(a, b, 1002) == [0] * 1000 + [1000, 1001]).all()
+    assert K.joined_groups(np.array([1, 3, 4]), np.array([3, 4, 1]), 5).tolist() == [0, 1, 2, 1, 1]

@@ -119,3 +119,43 @@ def test_nothing_to_build(spark):
 def test_search_language(spark, text, rows):
     df = spark.createDataFrame([(1, "A b"), (2, "a D"), (3, "c")], "id int, name string").selectExpr("id", "name", "if(id = 3, null, 'x') AS more")
     assert {r.id for r in search.searched(df, text).collect()} == rows
+
+
+def test_chains_of_any_batch_are_joined_whole(spark):
+    """A chain of seven, a fork, a ring of two and a line alone, in batches of two rows."""
+    chain = [(f"way/{i}-380", 2, 380_000, False, [(5 + i, 50.0), (6 + i, 50.0 + 0.1 * (i == 3))][:: 1 if i % 2 else -1]) for i in range(10, 13)]
+    chain += [(f"way/{i}-380", 2, 380_000, False, [(5 + i, 50.0 + 0.1 * (i == 4)), (6 + i, 50.0)]) for i in range(13, 17)]
+    fork = [(f"way/{i}-380", 1, 380_000, False, [(1.0, 40.0), (1.0 + i / 100, 41.0)]) for i in (1, 2, 3)]
+    ring = [("way/21-220", 1, 220_000, True, [(3.0, 45.0), (3.5, 46.0), (4.0, 45.0)]), ("way/22-220", 1, 220_000, True, [(4.0, 45.0), (3.0, 45.0)])]
+    at = lambda p: {"lon": float(p[0]), "lat": float(p[1])}
+    rows = [(*r[:4], [at(p) for p in r[4]]) for r in [*chain, *fork, *ring, ("way/30-220", 1, 220_000, False, [(9.0, 45.0), (9.5, 45.0)])]]
+    point = "struct<lon:double,lat:double>"
+    df = spark.createDataFrame(rows, f"line_id string, circuits int, voltage int, underground boolean, geometry array<{point}>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = {r.line_id: r for r in build.contracted(df, spark.createDataFrame([], f"bus_id string, geometry array<array<{point}>>")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    (name,) = [n for n in got if n.startswith("merged_")]
+    assert set(got) - {name} == {"way/1-380", "way/2-380", "way/3-380", "way/21-220", "way/22-220", "way/30-220"}
+    assert got[name].contains_lines == [f"way/{i}-380" for i in range(10, 17)] and got[name].circuits == 2 and name.endswith("-380+6")
+    xs = [p.lon for p in got[name].geometry]
+    assert xs == [float(x) for x in range(15, 23)] or xs == [float(x) for x in range(22, 14, -1)]
+
+
+def test_links_of_one_task_need_no_rounds(spark, monkeypatch):
+    from voltmesh.operators import graph
+
+    links = spark.createDataFrame([("d", "c"), ("b", "c"), ("a", "b"), ("x", "y"), ("y", "y")], "a string, b string")
+    want = {"a": "a", "b": "a", "c": "a", "d": "a", "x": "x", "y": "x"}
+    assert dict(graph.connected(links.repartition(5)).collect()) == want
+    monkeypatch.setattr(graph, "_rounds", None)
+    assert dict(graph.connected(links.coalesce(1)).collect()) == want
+
+
+def test_a_line_twice_is_one_with_all_circuits_and_cut_where_another_ends(spark):
+    lines = [(1, 380, 1, [(5.0, 50.0), (5.04, 50.0)]), (2, 380, 2, [(5.0, 50.0), (5.04, 50.0)]), (3, 380, 1, [(5.02, 50.0), (5.1, 50.1)]), (4, 110, 1, [(7.0, 50.0), (7.04, 50.0)]), (5, 110, 1, [(7.02, 50.0), (7.1, 50.1)])]
+    net = build.built(*tables(spark, lines=lines), C.Config(network=C.Network(station_merge_radius_m=25.0)))
+    got = sorted((r.osm_ids, r.circuits, round(r.length_m)) for r in net["lines"].collect())
+    assert [x[:2] for x in got] == [("way/1:a", 3), ("way/1:b", 3), ("way/3", 1), ("way/4", 1), ("way/5", 1)] and net["buses"].count() == 8
+    assert net["stations_polygon"].count() == 8 and all(len(r.geometry) == 1 for r in net["stations_polygon"].collect())

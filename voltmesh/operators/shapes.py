@@ -22,8 +22,8 @@ def _points(values: pa.Array) -> np.ndarray:
     return np.stack([values.field(i).to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for i in range(2)], 1)
 
 
-def _rows(values: pa.Array) -> list:
-    """The rows of an Arrow array: lines as (n, 2) arrays, lists of lines as lists of such, cut from one flat array of points; nulls as None."""
+def _rows(values: pa.Array, f: Callable = lambda p: p) -> list:
+    """The rows of an Arrow array: lines as (n, 2) arrays, lists of lines as lists of such, cut from one flat array of points, to which f is applied; nulls as None."""
     kind, depth = values.type, 0
     while pa.types.is_list(kind) or pa.types.is_large_list(kind):
         kind, depth = kind.value_type, depth + 1
@@ -31,21 +31,21 @@ def _rows(values: pa.Array) -> list:
         return values.to_pylist()
     ends, valid = values.offsets.to_numpy(), values.is_valid().to_numpy(zero_copy_only=False)
     inner = values.values
-    cut = _points(inner) if depth == 1 else _rows(inner)
+    cut = f(_points(inner)) if depth == 1 else _rows(inner, f)
     return [cut[a:b] if ok else None for a, b, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), valid.tolist(), strict=True)]
 
 
-def _column(rows: list, kind: pa.DataType) -> pa.Array:
-    """Rows as _rows() gives them as an Arrow array of a type."""
+def _column(rows: list, kind: pa.DataType, f: Callable = lambda p: p) -> pa.Array:
+    """Rows as _rows() gives them as an Arrow array of a type; f is applied to all points at once."""
     if not pa.types.is_list(kind):
         return pa.array(rows, kind)
     sizes = [0 if r is None else len(r) for r in rows]
     missing = pa.array([r is None for r in rows], pa.bool_())
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
     if pa.types.is_list(kind.value_type):
-        values = _column([x for r in rows if r is not None for x in r], kind.value_type)
+        values = _column([x for r in rows if r is not None for x in r], kind.value_type, f)
     else:
-        flat = np.concatenate([np.empty((0, 2)), *(r for r in rows if r is not None and len(r))])
+        flat = f(np.concatenate([np.empty((0, 2)), *(r for r in rows if r is not None and len(r))]))
         values = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(kind.value_type))
     return pa.ListArray.from_arrays(offsets, values, type=kind, mask=missing)
 
@@ -72,6 +72,28 @@ def kernel(f: Callable, returns: str):
     return apply
 
 
+def metric_kernel(f: Callable, returns: str):
+    """An Arrow UDF that applies f to lists of whole batches of shapes in metres, and gives lists of shapes back in degrees; no shape may be null.
+
+    At most 1024 rows are handed to f at once.
+    """
+    n = f.__code__.co_argcount
+
+    def apply(*columns: Column | str) -> Column:
+        kind = to_arrow_type(DataType.fromDDL(returns))
+
+        def run(*arrays: pa.Array) -> pa.Array:
+            rows = [_rows(x, K.to_metric) for x in arrays]
+            done = [y for i in range(0, len(arrays[0]), 1024) for y in f(*(x[i : i + 1024] for x in rows))]
+            return _column(done, kind, K.to_degrees)
+
+        chosen = {1: lambda a: run(a), 2: lambda a, b: run(a, b), 3: lambda a, b, c: run(a, b, c)}[n]
+        chosen.__annotations__ = dict.fromkeys("abc"[:n], pa.Array) | {"return": pa.Array}
+        return F.arrow_udf(chosen, returns)(*columns)
+
+    return apply
+
+
 merged = kernel(lambda parts: K.merged_lines(parts), LINES)
 hull = kernel(lambda line: K.convex_hull(line), G.LINE)
 dissolved = kernel(lambda rings: K.united(rings), G.POLYGON)
@@ -81,6 +103,7 @@ split = kernel(lambda line, points: K.split_at(line, list(points)), LINES)
 clipped = kernel(lambda line, rings: K.outside(line, (rings, 0.0)), LINES)
 inside = kernel(lambda line, rings: bool(K.within(line, (rings, 0.0))), "boolean")
 meets = kernel(lambda line, rings: bool(K.intersects(line, (rings, 0.0))), "boolean")
+apart = kernel(lambda a, b: float(K.gap(a, b)), "double")
 apart_m = kernel(lambda a, b: float(K.gap(K.to_metric(a), K.to_metric(b))), "double")
 simplified_m = kernel(lambda line, tol: K.to_degrees(K.simplified(K.to_metric(line), tol)), G.LINE)
 
@@ -103,13 +126,6 @@ def point_to_line_m(p: Column, line: Column) -> Column:
     return F.array_min(G._edges(F.transform(line, G._metric_point), far))
 
 
-def metric_box(line: Column, by: float = 0.0) -> Column:
-    """The box in metres around a line's projected points, widened on all sides."""
-    m = F.transform(line, G._metric_point)
-    xs, ys = F.transform(m, lambda p: p["x"]), F.transform(m, lambda p: p["y"])
-    return F.struct((F.array_min(xs) - by).alias("west"), (F.array_min(ys) - by).alias("south"), (F.array_max(xs) + by).alias("east"), (F.array_max(ys) + by).alias("north"))
-
-
 def pathway_offsets(df: DataFrame, column: str = "geometry", shift: float = 0.0003, taper: float = 0.00025) -> DataFrame:
     """Lines of circuit_rows() side by side: each moved by its place among the circuits, fading out towards both ends.
 
