@@ -170,3 +170,11 @@ def test_groups_of_links():
     a, b = np.arange(999, 0, -1), np.arange(998, -1, -1)
     assert (K.joined_groups(a, b, 1002) == [0] * 1000 + [1000, 1001]).all()
     assert K.joined_groups(np.array([1, 3, 4]), np.array([3, 4, 1]), 5).tolist() == [0, 1, 2, 1, 1]
+
+
+def test_the_pole_of_a_square_is_its_middle_at_any_longitude():
+    for lon in (9.7, 10.0, 12.34):
+        square = np.array([lon, 50.0]) + 3e-4 * np.array([[-1, -1], [1, -1], [1, 1], [-1, 1], [-1, -1]])
+        ring = K.to_metric(square)
+        for p in (K.pole(ring, 30.0), K.poles([ring], 30.0)[0]):
+            assert np.abs(K.to_degrees(p[None])[0] - [lon, 50.0]).max() < 5e-7
